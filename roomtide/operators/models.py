@@ -155,27 +155,67 @@ def _shrink(value: np.ndarray, by: np.ndarray) -> np.ndarray:
     return np.sign(value) * np.maximum(np.abs(value) - by, 0.0)
 
 
+def _sweep(
+    target: np.ndarray, slope: np.ndarray, hessian: np.ndarray, penalty: np.ndarray
+) -> None:
+    """One round of coordinate descent on the penalised quadratic model, in place."""
+    for j in range(N_WEIGHTS):
+        curvature = np.maximum(hessian[:, j, j], 1e-12)
+        moved = target[:, j] - slope[:, j] / curvature
+        if j < N_WEIGHTS - 1:
+            moved = _shrink(moved, penalty / curvature)
+        change = moved - target[:, j]
+        target[:, j] = moved
+        slope += change[:, None] * hessian[:, :, j]
+
+
+def _solve_on_support(
+    target: np.ndarray, linear: np.ndarray, hessian: np.ndarray, penalty: np.ndarray
+) -> np.ndarray:
+    """Exact minimum for the present signs; a weight that would change sign stops at 0."""
+    target = target.copy()
+    todo = np.arange(len(target))
+    for _ in range(N_WEIGHTS):
+        here = target[todo]
+        free = here != 0
+        free[:, -1] = True
+        system = hessian[todo] * free[:, :, None] * free[:, None, :]
+        system[:, range(N_WEIGHTS), range(N_WEIGHTS)] += ~free
+        signs = np.sign(here)
+        signs[:, -1] = 0.0
+        right = (linear[todo] - penalty[todo, None] * signs) * free
+        goal = np.linalg.solve(system, right[:, :, None])[:, :, 0]
+        crossing = free & (np.sign(goal) != signs) & (signs != 0)
+        share = np.where(crossing, here / np.where(crossing, here - goal, 1.0), 1.0)
+        first = share.min(axis=1)
+        here = here + first[:, None] * (goal - here)
+        here[crossing & (share <= first[:, None])] = 0.0
+        target[todo] = here
+        todo = todo[crossing.any(axis=1)]
+        if not len(todo):
+            break
+    return target
+
+
 def _newton_direction(
     gradient: np.ndarray, hessian: np.ndarray, weights: np.ndarray, penalty: np.ndarray
 ) -> np.ndarray:
-    """Minimise the penalised quadratic model by coordinate descent, all models at once."""
-    step = np.zeros_like(weights)
-    slope = gradient.copy()
-    curvature = np.maximum(np.einsum("mii->mi", hessian), 1e-12)
-    for _ in range(2000):
-        largest = 0.0
-        for j in range(N_WEIGHTS):
-            here = weights[:, j] + step[:, j]
-            target = here - slope[:, j] / curvature[:, j]
-            if j < N_WEIGHTS - 1:
-                target = _shrink(target, penalty / curvature[:, j])
-            change = target - here
-            step[:, j] += change
-            slope += change[:, None] * hessian[:, :, j]
-            largest = max(largest, float(np.max(np.abs(change) * np.sqrt(curvature[:, j]))))
-        if largest < 1e-11:
+    """Minimise the penalised quadratic model of every fit at once."""
+    linear = np.einsum("mij,mj->mi", hessian, weights) - gradient
+    target = weights.copy()
+    todo = np.arange(len(weights))
+    for _ in range(100):
+        here, h, lam = target[todo], hessian[todo], penalty[todo]
+        slope = np.einsum("mij,mj->mi", h, here) - linear[todo]
+        for _ in range(3):
+            _sweep(here, slope, h, lam)
+        here = _solve_on_support(here, linear[todo], h, lam)
+        target[todo] = here
+        slope = np.einsum("mij,mj->mi", h, here) - linear[todo]
+        todo = todo[_violation(slope, here, lam) > 1e-9 * lam]
+        if not len(todo):
             break
-    return step
+    return target - weights
 
 
 def _violation(gradient: np.ndarray, weights: np.ndarray, penalty: np.ndarray) -> np.ndarray:
@@ -191,6 +231,12 @@ def _objective(loss: np.ndarray, weights: np.ndarray, penalty: np.ndarray) -> np
     return loss + penalty * np.abs(weights[:, :-1]).sum(axis=1)
 
 
+def _shorten(rise: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Factor for a step that did not pay off, from a parabola through what is known."""
+    bend = np.maximum(rise - expected, 1e-300)
+    return np.clip(-expected / (2.0 * bend), 0.1, 0.5)
+
+
 def _fit_slice(
     rows: DataFrame, fits: Sequence[Fit], tolerance: float, max_passes: int
 ) -> list[tuple]:
@@ -224,7 +270,9 @@ def _fit_slice(
         good = value <= best_value[open_ids] + 1e-4 * length[open_ids] * expected[open_ids] + slack
 
         short = open_ids[~good]
-        length[short] /= 2
+        length[short] *= _shorten(
+            (value - best_value[open_ids])[~good], length[short] * expected[short]
+        )
         taken = open_ids[good]
         if len(taken):
             best[taken], best_value[taken] = trial[good], value[good]

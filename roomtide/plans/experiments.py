@@ -361,15 +361,15 @@ def lookup_matrix(cells: DataFrame, homes: Sequence[str]) -> DataFrame:
     )
 
 
-def lookup_by_home(cells: DataFrame) -> DataFrame:
-    """Own-home confusion counts of the lookup predictor, straight from its cells."""
+def lookup_counts(cells: DataFrame, keys: Sequence[str] = ("home",)) -> DataFrame:
+    """Confusion counts of the lookup predictor per key, straight from its cells."""
     probability = F.try_divide(F.col("train_1"), F.col("train_0") + F.col("train_1"))
     pred = at_least(probability)
 
     def total(column: str, wanted: int) -> Column:
         return F.sum(F.when(pred == wanted, F.col(column)).otherwise(0))
 
-    return cells.groupBy("home").agg(
+    return cells.groupBy(*keys).agg(
         total("test_0", 0).alias("tn"),
         total("test_0", 1).alias("fp"),
         total("test_1", 0).alias("fn"),
