@@ -11,25 +11,24 @@ def bin_start(ts: Column, bin_minutes: int) -> Column:
     return F.window(ts, f"{bin_minutes} minutes")["start"]
 
 
-def epoch_minute(ts: Column) -> Column:
+def epoch_minute(ts: str) -> Column:
     """Whole minutes since 1970-01-01, independent of the session time zone."""
-    return F.unix_date(F.to_date(ts)).cast("long") * 1440 + minute_of_day(ts)
+    return F.expr(f"unix_date(to_date({ts})) * 1440L + hour({ts}) * 60 + minute({ts})")
 
 
-def minute_of_day(ts: Column) -> Column:
-    return F.hour(ts) * 60 + F.minute(ts)
+def minute_of_day(ts: str) -> Column:
+    return F.expr(f"hour({ts}) * 60 + minute({ts})")
 
 
 def minutes(count: int) -> Column:
     return F.expr(f"INTERVAL '{count}' MINUTE")
 
 
-def is_weekend(ts: Column) -> Column:
+def is_weekend(ts: str) -> Column:
     """1 on Saturday and Sunday."""
-    return (F.weekday(ts) > 4).cast("int")
+    return F.expr(f"cast(weekday({ts}) > 4 AS INT)")
 
 
-def hour_wave(ts: Column, wave) -> Column:
-    """``wave`` (``F.sin`` or ``F.cos``) of the hour of day, scaled to 0..1."""
-    hour = F.hour(ts) + F.minute(ts) / 60
-    return 0.5 * wave(hour * (F.pi() / 12)) + 0.5
+def hour_wave(ts: str, wave: str) -> Column:
+    """``wave`` (``sin`` or ``cos``) of the hour of day, scaled to 0..1."""
+    return F.expr(f"0.5D * {wave}((hour({ts}) + minute({ts}) / 60) * (pi() / 12)) + 0.5D")

@@ -12,11 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomtide.functions import clock
 from roomtide.functions.numeric import ratio_or_zero, sig_round
 from roomtide.operators import design as designs
 from roomtide.operators.metrics import with_rates
-from roomtide.operators.timeseries import place_in_segments
+from roomtide.operators.timeseries import place_in_segments, position_in
 from roomtide.schemas import CHANNELS, ENV, NO_CHANNEL
 
 BASELINE_RUN = 0
@@ -146,13 +145,12 @@ def run_series(
     placed = joined.withColumn("segment", F.get(inside, F.lit(0))).where(
         F.col("segment").isNotNull()
     )
-    distance = clock.epoch_minute(F.col("ts")) - clock.epoch_minute(F.col("segment.seg_start"))
     return placed.select(
         "home",
         "run",
         "ts",
         *[v.alias(c) for c, v in values.items()],
-        (F.col("segment.seg_offset") + distance / bin_minutes).cast("long").alias("pos"),
+        position_in("segment.", bin_minutes).alias("pos"),
     )
 
 
@@ -164,12 +162,13 @@ def hub_states(inferences: DataFrame) -> DataFrame:
 
     Equals the full outer join of all hubs on (day, time, label), followed by counting
     equal rows.  One row per sample time shrinks to a few states per day before any run
-    looks at it.  A hub holds a time and label once.
+    looks at it.  A hub holds a time and label once; as a set, a state stays within nine
+    entries per hub whatever the input repeats.
     """
     entry = F.struct("hub", "audio", "img")
     return (
         inferences.groupBy("home", "day", "hr_min_sec", "occupied")
-        .agg(F.array_sort(F.collect_list(entry)).alias("state"))
+        .agg(F.array_sort(F.collect_set(entry)).alias("state"))
         .groupBy("home", "day", "occupied", "state")
         .agg(F.count("*").alias("n"))
     )

@@ -18,12 +18,12 @@ COUNTS = ("tn", "fp", "fn", "tp")
 DIGITS = {"Accuracy": 4, "RMSE": 4, "F1": 4, "F1 neg": 4, "tnr": 3, "fpr": 3, "fnr": 3, "tpr": 3}
 
 
-def _counts(label: Column, prediction: Column) -> dict[str, Column]:
+def _counts(label: str, prediction: str) -> dict[str, Column]:
     return {
-        "tn": F.count_if((label == 0) & (prediction == 0)),
-        "fp": F.count_if((label == 0) & (prediction == 1)),
-        "fn": F.count_if((label == 1) & (prediction == 0)),
-        "tp": F.count_if((label == 1) & (prediction == 1)),
+        "tn": F.expr(f"count_if({label} = 0 AND {prediction} = 0)"),
+        "fp": F.expr(f"count_if({label} = 0 AND {prediction} = 1)"),
+        "fn": F.expr(f"count_if({label} = 1 AND {prediction} = 0)"),
+        "tp": F.expr(f"count_if({label} = 1 AND {prediction} = 1)"),
     }
 
 
@@ -33,7 +33,7 @@ def confusion(
     label: str = "occupied",
     prediction: str = "pred",
 ) -> DataFrame:
-    counts = _counts(F.col(label), F.col(prediction))
+    counts = _counts(label, prediction)
     return predictions.groupBy(*keys).agg(*[c.alias(n) for n, c in counts.items()])
 
 
@@ -47,7 +47,7 @@ def confusion_of_predictors(
     wide = predictions.groupBy(*keys).agg(
         *[
             F.struct(
-                *[c.alias(n) for n, c in _counts(F.col(label), F.col(column)).items()]
+                *[c.alias(n) for n, c in _counts(label, column).items()]
             ).alias(f"counts_{column}")
             for column in predictors.values()
         ]

@@ -25,7 +25,7 @@ def or_baseline(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def with_time_of_day(df: DataFrame) -> DataFrame:
-    return df.withColumn("tod_min", clock.minute_of_day(F.col("ts")))
+    return df.withColumn("tod_min", clock.minute_of_day("ts"))
 
 
 def time_of_day_model(train: DataFrame, keys: Sequence[str] = ("home",)) -> DataFrame:

@@ -7,17 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.operators.timeseries import span_days
 from roomtide.sources.config import ordered_days
 
 
 def days_of_spans(spans: DataFrame) -> DataFrame:
     """Distinct days per home covered by its hubs, straight from the span table."""
-    return spans.select(
-        "home",
-        F.explode(
-            F.sequence(F.to_date("first_ts"), F.to_date("last_ts"), F.expr("INTERVAL 1 DAY"))
-        ).alias("day"),
-    ).distinct()
+    return span_days(spans).select("home", "day").distinct()
 
 
 def assign_split(days: DataFrame, splits: Sequence[float] = (0.6,)) -> DataFrame:

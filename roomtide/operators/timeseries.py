@@ -70,54 +70,72 @@ def place_in_segments(
 
     Rows are hub ranges, never readings, so a window per series stays small.
     """
-    first, last = clock.epoch_minute(F.col("first_ts")), clock.epoch_minute(F.col("last_ts"))
     by_start = Window.partitionBy(*series).orderBy("first_ts", "last_ts", "hub")
     segment = Window.partitionBy(*series, "seg_no")
-    opens = F.coalesce(
-        first > F.max(last).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-        + bin_minutes,
-        F.lit(True),
-    )
-    numbered = spans.withColumn("opens", opens.cast("int")).withColumn(
-        "seg_no", F.sum("opens").over(by_start)
-    )
-    bounded = numbered.withColumn("seg_start", F.min("first_ts").over(segment)).withColumn(
-        "seg_end", F.max("last_ts").over(segment)
-    )
-    seg_rows = (
-        F.lit(1)
-        + (clock.epoch_minute(F.col("seg_end")) - clock.epoch_minute(F.col("seg_start")))
-        / bin_minutes
-    )
+    reached = F.max("last_minute").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     up_to_here = by_start.rowsBetween(Window.unboundedPreceding, 0)
-    before = F.sum(F.when(F.col("opens") == 1, seg_rows).otherwise(0)).over(up_to_here)
-    return bounded.withColumn("seg_offset", (before - seg_rows).cast("long")).drop(
-        "opens", "seg_no"
+    seg_rows = f"1 + (seg_last - seg_first) div {bin_minutes}"
+    return (
+        spans.withColumns(
+            {
+                "first_minute": clock.epoch_minute("first_ts"),
+                "last_minute": clock.epoch_minute("last_ts"),
+            }
+        )
+        .withColumn(
+            "opens",
+            F.when(F.col("first_minute") <= reached + bin_minutes, 0).otherwise(1),
+        )
+        .withColumn("seg_no", F.sum("opens").over(up_to_here))
+        .withColumns(
+            {
+                "seg_start": F.min("first_ts").over(segment),
+                "seg_end": F.max("last_ts").over(segment),
+                "seg_first": F.min("first_minute").over(segment),
+                "seg_last": F.max("last_minute").over(segment),
+            }
+        )
+        .withColumn("seg_rows", F.expr(seg_rows))
+        .withColumn(
+            "seg_offset", F.sum(F.expr("seg_rows * opens")).over(up_to_here) - F.col("seg_rows")
+        )
+        .drop("opens", "seg_no", "seg_rows", "seg_first", "seg_last", "first_minute", "last_minute")
     )
 
 
-def _position(bin_minutes: int) -> Column:
-    distance = clock.epoch_minute(F.col("ts")) - clock.epoch_minute(F.col("seg_start"))
-    return (F.col("seg_offset") + distance / bin_minutes).cast("long")
+def position_in(segment: str, bin_minutes: int) -> Column:
+    """Row position of ``ts`` from a segment's start and offset columns."""
+    start = clock.epoch_minute(f"{segment}seg_start")
+    distance = (clock.epoch_minute("ts") - start) / bin_minutes
+    return (F.col(f"{segment}seg_offset") + distance).cast("long")
+
+
+def spread(spans: DataFrame) -> DataFrame:
+    """Spread span rows over all shuffle partitions before they are exploded.
+
+    A row is tiny and its bins are many, so sizing tasks by bytes would put far too many
+    hubs into one task.
+    """
+    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return spans.repartition(tasks, "home", "hub")
+
+
+def span_days(spans: DataFrame) -> DataFrame:
+    """Repeat each span row for every day it touches."""
+    days = "explode(sequence(to_date(first_ts), to_date(last_ts), INTERVAL '1' DAY))"
+    return spread(spans).withColumn("day", F.expr(days))
 
 
 def spine(spans: DataFrame, bin_minutes: int = 5) -> DataFrame:
     """Every bin between a hub's first and last one, with its row position."""
-    day_end = F.expr("day + INTERVAL '1' DAY") - clock.minutes(bin_minutes)
-    first_day, last_day = (F.to_date(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts"))
-    days = spans.withColumn(
-        "day", F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL '1' DAY")))
+    step = f"INTERVAL '{bin_minutes}' MINUTE"
+    first = "greatest(first_ts, cast(day AS TIMESTAMP_NTZ))"
+    last = f"least(last_ts, cast(day AS TIMESTAMP_NTZ) + INTERVAL '1' DAY - {step})"
+    return (
+        span_days(spans)
+        .withColumn("ts", F.expr(f"explode(sequence({first}, {last}, {step}))"))
+        .select(*HUB, "ts", "hub_no", position_in("", bin_minutes).alias("pos"))
     )
-    return days.withColumn(
-        "ts",
-        F.explode(
-            F.sequence(
-                F.greatest("first_ts", "day"),
-                F.least(F.col("last_ts"), day_end),
-                clock.minutes(bin_minutes),
-            )
-        ),
-    ).select(*HUB, "ts", "hub_no", _position(bin_minutes).alias("pos"))
 
 
 def hub_bins(
@@ -208,13 +226,12 @@ def fuse_hubs(bins: DataFrame, keys: Sequence[str] = ("home", "ts")) -> DataFram
 
 def calendar_features(df: DataFrame) -> DataFrame:
     """Add ``day``, ``weekend``, ``hr_sin`` and ``hr_cos``."""
-    ts = F.col("ts")
     return df.withColumns(
         {
-            "day": F.to_date(ts),
-            "weekend": clock.is_weekend(ts),
-            "hr_sin": clock.hour_wave(ts, F.sin),
-            "hr_cos": clock.hour_wave(ts, F.cos),
+            "day": F.to_date("ts"),
+            "weekend": clock.is_weekend("ts"),
+            "hr_sin": clock.hour_wave("ts", "sin"),
+            "hr_cos": clock.hour_wave("ts", "cos"),
         }
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,12 @@ from roomtide.operators import timeseries as ts_ops
 from roomtide.operators.effects import effects_table
 from roomtide.operators.metrics import confusion_of_predictors, model_metrics
 from roomtide.operators.reports import cross_home_order, split_order
-from roomtide.operators.splits import assign_split, days_of_spans, with_directions
+from roomtide.operators.splits import (
+    assign_split,
+    days_of_spans,
+    keep_days,
+    with_directions,
+)
 from roomtide.plans.features import complete_rows, filled_bins, prepare
 from roomtide.runtime import stage
 from roomtide.sources.config import TrainConfig
@@ -285,43 +291,63 @@ def factorial_experiment(
 
 
 @dataclass(frozen=True)
-class ModelFreeResult:
-    """Tables of the model-free study."""
+class ModelFreeStudy:
+    """Any-hub-positive predictor of every run, scored per day.
+
+    ``states`` are the counted hub states; ``days`` restricts the scored days.
+    """
 
-    sentinels: DataFrame
-    daily: DataFrame
-    statistics: DataFrame
-    errors: DataFrame
-    report: DataFrame
+    states: DataFrame
+    hubs: DataFrame
+    runs: DataFrame
+    comparison: str
+    days: DataFrame | None = None
+
+    @cached_property
+    def seen(self) -> DataFrame:
+        return factorial.runs_on_states(self.states, self.runs, self.hubs, self.comparison)
+
+    def sentinels(self) -> DataFrame:
+        """Value counts before and after sentinel rows are dropped."""
+        return factorial.sentinel_counts(self.seen)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        """Metrics per home, run and day."""
+        predictions = factorial.model_free_predictions(self.seen)
+        if self.days is not None:
+            predictions = keep_days(predictions, self.days)
+        return factorial.daily_metrics(predictions)
+
+    @cached_property
+    def statistics(self) -> DataFrame:
+        """Mean and variance of the daily metrics per run."""
+        return factorial.run_statistics(self.daily)
+
+    def errors(self) -> DataFrame:
+        """Standard error of every metric per home."""
+        days = self.states.select("home", "day") if self.days is None else self.days
+        return factorial.standard_error(self.statistics, days.distinct())
+
+    def report(self, hub_names: Sequence[str]) -> DataFrame:
+        """A row per run with signs and metrics, and a standard error row per home."""
+        long_runs = designs.assign_channels(
+            designs.long_design(self.runs, self.hubs), self.comparison
+        )
+        return factorial.experiment_report(
+            self.statistics, self.errors(), long_runs, hub_names
+        )
 
 
-def model_free_experiment(
+def model_free_study(
     inferences: DataFrame,
     comparison: str,
-    hub_names: Sequence[str],
     level: str = "full",
     days: DataFrame | None = None,
-) -> ModelFreeResult:
-    """Any-hub-positive predictor of every run, scored per day.
-
-    ``days`` restricts the scored days; by default all days of the table count.
-    """
+) -> ModelFreeStudy:
     hubs = inferences.select("home", "hub").distinct()
-    runs = designs.design(hubs, level)
     states = stage(factorial.hub_states(inferences))
-    listed = states.select("home", "day").distinct() if days is None else days
-    seen = factorial.runs_on_states(states, runs, hubs, comparison)
-    predictions = factorial.model_free_predictions(seen)
-    if days is not None:
-        predictions = predictions.join(days.select("home", "day"), ["home", "day"], "left_semi")
-    daily = factorial.daily_metrics(predictions)
-    statistics = factorial.run_statistics(daily)
-    errors = factorial.standard_error(statistics, listed)
-    long_runs = designs.assign_channels(designs.long_design(runs, hubs), comparison)
-    report = factorial.experiment_report(statistics, errors, long_runs, hub_names)
-    return ModelFreeResult(
-        factorial.sentinel_counts(seen), daily, statistics, errors, report
-    )
+    return ModelFreeStudy(states, hubs, designs.design(hubs, level), comparison, days)
 
 
 def lookup_matrix(cells: DataFrame, homes: Sequence[str]) -> DataFrame:

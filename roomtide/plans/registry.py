@@ -400,7 +400,7 @@ def ffa_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _model_free(spark: SparkSession, folder: str, comparison: str = "img_audio"):
-    return experiments.model_free_experiment(_inferences(spark, folder), comparison, HUBS)
+    return experiments.model_free_study(_inferences(spark, folder), comparison)
 
 
 def ffa_daily_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -414,15 +414,15 @@ def ffa_run_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ffa_standard_error(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_model_free(spark, folder).errors, factorial.DAILY_METRICS)
+    return rounded(_model_free(spark, folder).errors(), factorial.DAILY_METRICS)
 
 
 def sentinel_value_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _model_free(spark, folder).sentinels
+    return _model_free(spark, folder).sentinels()
 
 
 def ffa_report(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_model_free(spark, folder).report, factorial.DAILY_METRICS)
+    return rounded(_model_free(spark, folder).report(HUBS), factorial.DAILY_METRICS)
 
 
 def look_ahead(spark: SparkSession, folder: str) -> DataFrame:

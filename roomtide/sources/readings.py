@@ -72,23 +72,21 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def sensor_view(events: DataFrame) -> DataFrame:
     """Hub readings derived from ``events``: users become hubs, event types channels."""
-    strength = F.least(F.col("value") / 100, F.lit(1.0))
+    strength = "least(value / 100, 1.0D)"
     # Which event type stands for which channel.
     by_type = {
         "audio": "click", "img": "view", "temp": "purchase", "rh": "signup", "light": "error",
     }
-
-    def channel(name: str) -> Column:
-        if name == "co2eq":
-            return 0.5 * strength
-        return F.when(F.col("event_type") == by_type[name], strength)
-
-    return events.select(
-        F.concat(F.lit("H"), F.col("user_id") % 6 + 1).alias("home"),
-        F.concat(F.lit("RS"), F.expr("user_id div 6 % 5 + 1")).alias("hub"),
+    channels = {
+        c: f"CASE WHEN event_type = '{kind}' THEN {strength} END" for c, kind in by_type.items()
+    }
+    channels["co2eq"] = f"0.5D * {strength}"
+    return events.selectExpr(
+        "concat('H', user_id % 6 + 1) AS home",
+        "concat('RS', user_id div 6 % 5 + 1) AS hub",
         "ts",
-        *[channel(c).alias(c) for c in CHANNELS],
-        (F.col("value") > 30).cast("double").alias("occupied"),
+        *[f"{channels[c]} AS {c}" for c in CHANNELS],
+        "cast(value > 30 AS DOUBLE) AS occupied",
     )
 
 
