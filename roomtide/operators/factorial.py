@@ -32,18 +32,12 @@ def hubs_side_by_side(bins: DataFrame, n_hubs: int) -> DataFrame:
     number = F.when(F.col("hub_no") <= n_hubs, F.col("hub_no")).otherwise(
         F.raise_error(F.lit(f"more than {n_hubs} hubs in a home")).cast("int")
     )
-    columns = (*CHANNELS, "occupied")
-    return (
-        bins.withColumn("hub_no", number)
-        .groupBy("home", "ts")
-        .agg(
-            *[
-                F.max(F.when(F.col("hub_no") == j, F.col(c))).alias(f"{c}_{j}")
-                for j in range(1, n_hubs + 1)
-                for c in columns
-            ]
-        )
-    )
+    wide = [
+        F.expr(f"max(CASE WHEN hub_no = {j} THEN {c} END) AS {c}_{j}")
+        for j in range(1, n_hubs + 1)
+        for c in (*CHANNELS, "occupied")
+    ]
+    return bins.withColumn("hub_no", number).groupBy("home", "ts").agg(*wide)
 
 
 def with_baseline(runs: DataFrame) -> DataFrame:
@@ -107,49 +101,38 @@ def run_series(
     constant 0, which leaves its model weight at 0 just as dropping the column would.
     """
     high, low = designs.split_comparison(comparison)
-    used = [c for c in (high, low) if c != NO_CHANNEL]
-
-    def sign(j: int) -> Column:
-        return F.get("signs", F.lit(j - 1))
-
-    def contributes(channel: str, j: int) -> Column:
-        wanted = [s for s, c in ((1, high), (-1, low)) if c == channel]
-        return sign(j).isin(0, *wanted)
-
-    def is_active(j: int) -> Column:
-        return F.lit(True) if j == 1 else sign(j).isin(
-            0, *[s for s, c in ((1, high), (-1, low)) if c != NO_CHANNEL]
-        )
+    channel_of = {1: high, -1: low}
+
+    def signs_of(*channels: str) -> str:
+        """Signs that stand for one of the channels; 0 is the baseline's every channel."""
+        return ", ".join(["0", *(str(s) for s, c in channel_of.items() if c in channels)])
+
+    def fused(column: str, signs: str, first_always: bool) -> str:
+        """Largest value of a column over the hubs whose sign is listed."""
+        terms = [
+            f"{column}_{j}"
+            if j == 1 and first_always
+            else f"CASE WHEN get(signs, {j - 1}) IN ({signs}) THEN {column}_{j} END"
+            for j in range(1, n_hubs + 1)
+        ]
+        return f"greatest({', '.join(terms)}, NULL)"
 
-    def fused(column: str, condition) -> Column:
-        terms = [F.when(condition(j), F.col(f"{column}_{j}")) for j in range(1, n_hubs + 1)]
-        return F.greatest(*terms, F.lit(None).cast("double"))
-
-    values = {}
-    for c in ("audio", "img"):
-        level = fused(c, lambda j, c=c: contributes(c, j))
-        baseline = F.when(F.col("run") == BASELINE_RUN, F.coalesce(level, F.lit(0.0)))
-        values[c] = (
-            F.coalesce(F.greatest(level, F.lit(0.0)), F.lit(0.0))
-            if c in used
-            else F.coalesce(baseline, F.lit(0.0))
-        )
+    active = signs_of("audio", "img")
+    values = {
+        c: f"coalesce({fused(c, signs_of(c), False)}, 0D)" for c in ("audio", "img")
+    }
     for c in ENV:
-        values[c] = F.coalesce(fused(c, is_active), F.lit(0.0)) if environment else F.lit(0.0)
-    values["occupied"] = fused("occupied", is_active).cast("int")
+        values[c] = f"coalesce({fused(c, active, True)}, 0D)" if environment else "0D"
+    values["occupied"] = f"cast({fused('occupied', active, True)} AS INT)"
 
     joined = wide.withColumn("day", F.to_date("ts")).join(_per_day(runs), ["home", "day"])
-    inside = F.filter(
-        "segments", lambda s: (s["seg_start"] <= F.col("ts")) & (F.col("ts") <= s["seg_end"])
-    )
-    placed = joined.withColumn("segment", F.get(inside, F.lit(0))).where(
-        F.col("segment").isNotNull()
-    )
+    inside = "get(filter(segments, s -> s.seg_start <= ts AND ts <= s.seg_end), 0)"
+    placed = joined.withColumn("segment", F.expr(inside)).where("segment IS NOT NULL")
     return placed.select(
         "home",
         "run",
         "ts",
-        *[v.alias(c) for c, v in values.items()],
+        *[F.expr(f"{v} AS {c}") for c, v in values.items()],
         position_in("segment.", bin_minutes).alias("pos"),
     )
 
@@ -174,6 +157,11 @@ def hub_states(inferences: DataFrame) -> DataFrame:
     )
 
 
+def hubs_of_states(states: DataFrame) -> DataFrame:
+    """Home and hub pairs that occur in the states."""
+    return states.select("home", F.explode("state.hub").alias("hub")).distinct()
+
+
 def outer_join_hubs(inferences: DataFrame, channel: str, hubs: Sequence[str]) -> DataFrame:
     """Full outer join of hubs on (day, time, label): a ``<channel>_<digit>`` column each."""
     return inferences.where(F.col("hub").isin(*hubs)).groupBy(
@@ -212,28 +200,19 @@ def runs_on_states(
     )
     days = states.select("home", "day").distinct()
     per_day = days.join(per_home.select("home", "run", "hubs", "channels"), "home")
-    silent = ~F.exists(F.map_values("channels"), lambda c: c != NO_CHANNEL)
-
-    def pick(entry: Column) -> Column:
-        channel = F.element_at(F.col("channels"), entry["hub"])
-        value = F.when(channel == "img", entry["img"]).when(channel == "audio", entry["audio"])
-        name = F.concat(channel, F.lit("_"), F.substring(entry["hub"], 3, 1))
-        return F.struct(name.alias("column"), value.alias("value"))
-
-    first_hub = F.get("hubs", F.lit(0))
+    silent = f"forall(map_values(channels), c -> c = '{NO_CHANNEL}')"
+    pick = (
+        "named_struct('column', concat(channels[e.hub], '_', substr(e.hub, 3, 1)), 'value', "
+        "CASE channels[e.hub] WHEN 'img' THEN e.img WHEN 'audio' THEN e.audio END)"
+    )
+    picked = f"filter(transform(state, e -> {pick}), p -> p.value IS NOT NULL)"
+    visible = "CASE WHEN is_null_run THEN exists(state, e -> e.hub = hubs[0]) " \
+              "ELSE size(picked) > 0 END"
     return (
         states.join(per_day, ["home", "day"])
-        .withColumn("is_null_run", silent)
-        .withColumn(
-            "picked",
-            F.filter(F.transform("state", pick), lambda p: p["value"].isNotNull()),
-        )
-        .where(
-            F.when(
-                F.col("is_null_run"), F.exists("state", lambda e: e["hub"] == first_hub)
-            ).otherwise(F.size("picked") > 0)
-        )
-        .withColumn("complete", F.forall("picked", lambda p: p["value"] != -1))
+        .withColumns({"is_null_run": F.expr(silent), "picked": F.expr(picked)})
+        .where(visible)
+        .withColumn("complete", F.expr("forall(picked, p -> p.value <> -1)"))
         .select("home", "run", "day", "occupied", "n", "picked", "is_null_run", "complete")
     )
 

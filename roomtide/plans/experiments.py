@@ -181,9 +181,7 @@ def cross_home(
     ready = prepare(readings, bin_minutes, config.fill)
     features = stage(ready.features)
     listed = days_of_spans(ready.spans) if days is None else days
-    roles = stage(
-        assign_split(listed, [split]).where(F.col("home").isin(*homes))
-    )
+    roles = assign_split(listed, [split]).where(F.col("home").isin(*homes))
     train_days = roles.where(F.col("role") == "train").withColumn("dataset", F.col("home"))
     trained = train(features, train_days, config)
     rows = series_rows(features, cross_home_tests(roles, homes), trained.models)
@@ -204,7 +202,7 @@ def split_sweep(
     ready = prepare(readings, bin_minutes, config.fill)
     features = stage(ready.features)
     listed = days_of_spans(ready.spans) if days is None else days
-    roles = stage(
+    roles = (
         with_directions(assign_split(listed.where(F.col("home").isin(*homes)), splits))
         .withColumn("dataset", joined_id("home", F.col("split").cast("string"), "direction"))
         .withColumn("series_id", F.col("dataset"))
@@ -276,7 +274,7 @@ def factorial_experiment(
     features = stage(factorial_features(series))
     listed = days_of_spans(spans) if days is None else days
     unit = ("home", "run")
-    roles = stage(
+    roles = (
         assign_split(listed, [split])
         .join(runs.select(*unit), "home")
         .withColumn("dataset", joined_id("home", F.col("run").cast("string")))
@@ -345,8 +343,8 @@ def model_free_study(
     level: str = "full",
     days: DataFrame | None = None,
 ) -> ModelFreeStudy:
-    hubs = inferences.select("home", "hub").distinct()
     states = stage(factorial.hub_states(inferences))
+    hubs = factorial.hubs_of_states(states)
     return ModelFreeStudy(states, hubs, designs.design(hubs, level), comparison, days)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roomtide.operators import timeseries as ts_ops
 from roomtide.operators.predictors import with_time_of_day
 from roomtide.operators.splits import assign_split, days_of_spans
+from roomtide.runtime import stage
 from roomtide.schemas import LAGS
 
 
@@ -23,7 +24,8 @@ class Prepared:
 
 
 def prepare(readings: DataFrame, bin_minutes: int = 5, fill: str = "zeros") -> Prepared:
-    spans = ts_ops.hub_spans(readings, bin_minutes)
+    """Spans are staged: they are small, and days, positions and bins all start from them."""
+    spans = stage(ts_ops.hub_spans(readings, bin_minutes))
     bins = filled_bins(readings, bin_minutes, fill, spans)
     lagged = ts_ops.fused_with_lags(bins)
     return Prepared(spans, bins, with_time_of_day(ts_ops.calendar_features(lagged)))

@@ -210,7 +210,7 @@ def _example_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     """Test rows of every home under the example models, and the lookup models."""
     ready = _prepared(spark, folder)
     features = stage(ready.features)
-    roles = stage(_split_days(ready.spans))
+    roles = _split_days(ready.spans)
     pairs = spark.createDataFrame(
         [(m, h) for m in EXAMPLE_MODELS for h in HOMES], "dataset STRING, home STRING"
     )
@@ -513,7 +513,7 @@ def sig_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 def _trained(spark: SparkSession, folder: str, config: TrainConfig):
     ready = _prepared(spark, folder)
-    train_days = stage(
+    train_days = (
         _split_days(ready.spans)
         .where(F.col("role") == "train")
         .withColumn("dataset", F.col("home"))
