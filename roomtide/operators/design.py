@@ -79,8 +79,8 @@ def assign_channels(long_runs: DataFrame, comparison: str) -> DataFrame:
     return long_runs.withColumn("channel", F.when(F.col("sign") == 1, high).otherwise(low))
 
 
-def hub_columns(runs: DataFrame, hub_names: Sequence[str]) -> DataFrame:
-    """Signs as one column per hub name, for homes with these hubs."""
-    return runs.select(
-        "home", "run", *[F.col("signs")[i].alias(h) for i, h in enumerate(hub_names)]
+def hub_columns(long_runs: DataFrame, hub_names: Sequence[str]) -> DataFrame:
+    """Signs of a run as one column per hub name; NULL where a home lacks the hub."""
+    return long_runs.groupBy("home", "run").agg(
+        *[F.max(F.when(F.col("hub") == h, F.col("sign"))).alias(h) for h in hub_names]
     )

@@ -364,7 +364,8 @@ def distinct_hubs(spark: SparkSession, folder: str) -> DataFrame:
 
 def _design(level: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        runs = designs.design(_hubs(spark, folder), level)
+        hubs = _hubs(spark, folder)
+        runs = designs.long_design(designs.design(hubs, level), hubs)
         return designs.hub_columns(runs, HUBS)
 
     return query
