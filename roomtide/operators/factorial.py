@@ -16,6 +16,7 @@ from roomtide.functions.numeric import ratio_or_zero, sig_round
 from roomtide.operators import design as designs
 from roomtide.operators.metrics import with_rates
 from roomtide.operators.timeseries import place_in_segments, position_in
+from roomtide.runtime import spread
 from roomtide.schemas import CHANNELS, ENV, NO_CHANNEL
 
 BASELINE_RUN = 0
@@ -79,12 +80,11 @@ def run_segments(
 
 
 def _per_day(runs: DataFrame) -> DataFrame:
-    """Repeat each run for the days its segments touch, as key for the rows of a home."""
-    days = F.expr(
-        "array_distinct(flatten(transform(segments, s -> "
-        "sequence(to_date(s.seg_start), to_date(s.seg_end), INTERVAL 1 DAY))))"
-    )
-    return runs.withColumn("day", F.explode(days))
+    """Repeat each run for its segments and their days, as key for the rows of a home."""
+    days = "explode(sequence(to_date(seg_start), to_date(seg_end), INTERVAL 1 DAY))"
+    segments = runs.withColumn("segment", F.explode("segments")).drop("segments")
+    per_day = segments.select("*", "segment.*").drop("segment").withColumn("day", F.expr(days))
+    return spread(per_day, "home", "day")
 
 
 def run_series(
@@ -107,33 +107,39 @@ def run_series(
         """Signs that stand for one of the channels; 0 is the baseline's every channel."""
         return ", ".join(["0", *(str(s) for s, c in channel_of.items() if c in channels)])
 
-    def fused(column: str, signs: str, first_always: bool) -> str:
-        """Largest value of a column over the hubs whose sign is listed."""
-        terms = [
-            f"{column}_{j}"
-            if j == 1 and first_always
-            else f"CASE WHEN get(signs, {j - 1}) IN ({signs}) THEN {column}_{j} END"
-            for j in range(1, n_hubs + 1)
-        ]
+    numbers = range(1, n_hubs + 1)
+    roles = {"audio": ("audio",), "img": ("img",), "active": ("audio", "img")}
+    flags = [
+        F.expr(
+            f"coalesce(get(signs, {j - 1}) IN ({signs_of(*channels)}), FALSE)"
+            f"{' OR TRUE' if j == 1 and role == 'active' else ''} AS {role}_on_{j}"
+        )
+        for role, channels in roles.items()
+        for j in numbers
+    ]
+
+    def fused(column: str, role: str) -> str:
+        """Largest value of a column over the hubs that play the role in the run."""
+        terms = [f"CASE WHEN {role}_on_{j} THEN {column}_{j} END" for j in numbers]
         return f"greatest({', '.join(terms)}, NULL)"
 
-    active = signs_of("audio", "img")
-    values = {
-        c: f"coalesce({fused(c, signs_of(c), False)}, 0D)" for c in ("audio", "img")
-    }
+    values = {c: f"coalesce({fused(c, c)}, 0D)" for c in ("audio", "img")}
     for c in ENV:
-        values[c] = f"coalesce({fused(c, active, True)}, 0D)" if environment else "0D"
-    values["occupied"] = f"cast({fused('occupied', active, True)} AS INT)"
+        values[c] = f"coalesce({fused(c, 'active')}, 0D)" if environment else "0D"
+    values["occupied"] = f"cast({fused('occupied', 'active')} AS INT)"
 
-    joined = wide.withColumn("day", F.to_date("ts")).join(_per_day(runs), ["home", "day"])
-    inside = "get(filter(segments, s -> s.seg_start <= ts AND ts <= s.seg_end), 0)"
-    placed = joined.withColumn("segment", F.expr(inside)).where("segment IS NOT NULL")
-    return placed.select(
-        "home",
-        "run",
-        "ts",
-        *[F.expr(f"{v} AS {c}") for c, v in values.items()],
-        position_in("segment.", bin_minutes).alias("pos"),
+    schedule = _per_day(runs.select("home", "run", "segments", *flags))
+    return (
+        wide.withColumn("day", F.to_date("ts"))
+        .join(schedule, ["home", "day"])
+        .where("ts BETWEEN seg_start AND seg_end")
+        .select(
+            "home",
+            "run",
+            "ts",
+            *[F.expr(f"{v} AS {c}") for c, v in values.items()],
+            position_in("", bin_minutes).alias("pos"),
+        )
     )
 
 
@@ -199,7 +205,9 @@ def runs_on_states(
         ),
     )
     days = states.select("home", "day").distinct()
-    per_day = days.join(per_home.select("home", "run", "hubs", "channels"), "home")
+    per_day = spread(
+        days.join(per_home.select("home", "run", "hubs", "channels"), "home"), "home", "day"
+    )
     silent = f"forall(map_values(channels), c -> c = '{NO_CHANNEL}')"
     pick = (
         "named_struct('column', concat(channels[e.hub], '_', substr(e.hub, 3, 1)), 'value', "

@@ -12,10 +12,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,8 +80,11 @@ def _plan(fits: Sequence[Fit], ids: np.ndarray, weights: np.ndarray) -> dict:
     }
 
 
-def _sum_by_model(rows: DataFrame, plan: dict, width: int, block_sums) -> pd.DataFrame:
-    """Sum ``block_sums`` vectors per model over all rows; one small vector per model."""
+def _sum_by_model(rows: DataFrame, plan: dict, width: int, block_sums):
+    """Sum ``block_sums`` vectors per model over all rows; a pandas row per model."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     shared = rows.sparkSession.sparkContext.broadcast(plan)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions import clock, numeric
-from roomtide.runtime import stage
+from roomtide.runtime import spread, stage
 from roomtide.schemas import CHANNELS, N_LAGS, ROWS_PER_LAG
 
 HUB = ("home", "hub")
@@ -110,20 +110,10 @@ def position_in(segment: str, bin_minutes: int) -> Column:
     return (F.col(f"{segment}seg_offset") + distance).cast("long")
 
 
-def spread(spans: DataFrame) -> DataFrame:
-    """Spread span rows over all shuffle partitions before they are exploded.
-
-    A row is tiny and its bins are many, so sizing tasks by bytes would put far too many
-    hubs into one task.
-    """
-    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return spans.repartition(tasks, "home", "hub")
-
-
 def span_days(spans: DataFrame) -> DataFrame:
     """Repeat each span row for every day it touches."""
     days = "explode(sequence(to_date(first_ts), to_date(last_ts), INTERVAL '1' DAY))"
-    return spread(spans).withColumn("day", F.expr(days))
+    return spread(spans, *HUB).withColumn("day", F.expr(days))
 
 
 def spine(spans: DataFrame, bin_minutes: int = 5) -> DataFrame:

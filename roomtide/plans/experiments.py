@@ -28,7 +28,7 @@ from roomtide.operators.splits import (
     with_directions,
 )
 from roomtide.plans.features import complete_rows, filled_bins, prepare
-from roomtide.runtime import stage
+from roomtide.runtime import spread, stage
 from roomtide.sources.config import TrainConfig
 
 # Report names of the predictors and their prediction columns.
@@ -66,12 +66,16 @@ def train(
 
     ``features`` should be staged.
     """
-    labelled = features.join(train_days.select(*unit, "day", "dataset"), [*unit, "day"])
+    labelled = spread(
+        features.join(train_days.select(*unit, "day", "dataset"), [*unit, "day"]),
+        "dataset",
+        "day",
+    )
     if config.cv:
         complete = stage(complete_rows(labelled))
         labelled = complete
         folded = models.assign_folds(complete, ["dataset"], config.n_folds)
-        rows = stage(models.training_rows(folded, fold="fold"))
+        rows = stage(models.training_rows(spread(folded, "dataset", "day"), fold="fold"))
     else:
         rows = stage(models.training_rows(labelled))
     names = [r.dataset for r in train_days.select("dataset").distinct().orderBy("dataset").collect()]

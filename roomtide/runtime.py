@@ -39,3 +39,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{folder}/roomtide-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash ``df`` over all shuffle partitions, whatever its size in bytes.
+
+    For small rows that stand for much work, such as a range about to be exploded: tasks
+    sized by bytes would put far too much of that work into one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys)
