@@ -17,38 +17,36 @@ def split_columns(results: DataFrame) -> tuple[list[str], list[str]]:
     return hubs, [c for c in results.columns if c in EFFECT_METRICS]
 
 
-def main_factors(runs: DataFrame, hubs: DataFrame) -> DataFrame:
-    """One row per home, run and hub: ``factor`` and ``sign``.  ``hubs`` lists home and hub."""
-    return _named_signs(runs, hubs).select(
-        "home", "run", F.explode(F.arrays_zip("factor", "sign")).alias("f")
-    ).select("home", "run", "f.factor", "f.sign")
+def factors(runs: DataFrame, hubs: DataFrame, level: int = 1) -> DataFrame:
+    """One row per home, run and combination of ``level`` hubs: ``factor`` and ``sign``.
 
-
-def _named_signs(runs: DataFrame, hubs: DataFrame) -> DataFrame:
-    names = hubs.groupBy("home").agg(F.array_sort(F.collect_set("hub")).alias("factor"))
-    return runs.join(names, "home").withColumnRenamed("signs", "sign")
-
-
-def pair_factors(runs: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Two-factor interactions ``AxB``: the product of the signs of two hubs of a run.
-
-    The pairs are those of a design's hubs, of which there are at most ``MAX_HUBS``.
+    Level 1 gives the hubs themselves, level 2 the interactions ``AxB``; the sign is the
+    product over the hubs.  ``hubs`` lists home and hub.  Combinations are of a design's
+    hubs, of which there are at most ``MAX_HUBS``.
     """
-    pairs = F.expr(
-        "flatten(transform(sequence(1, size(factor)), i -> "
-        "transform(filter(sequence(1, size(factor)), j -> j > i), j -> named_struct("
-        "'factor', concat(factor[i - 1], 'x', factor[j - 1]), "
-        "'sign', sign[i - 1] * sign[j - 1]))))"
+    names = hubs.groupBy("home").agg(F.array_sort(F.collect_set("hub")).alias("names"))
+    numbers = "sequence(1, size(names))"
+    combos = (
+        f"transform({numbers}, i -> named_struct("
+        "'last', i, 'factor', names[i - 1], 'sign', signs[i - 1]))"
     )
+    for depth in range(2, level + 1):
+        c, j = f"c{depth}", f"j{depth}"
+        combos = (
+            f"flatten(transform({combos}, {c} -> "
+            f"transform(filter({numbers}, {j} -> {j} > {c}.last), {j} -> named_struct("
+            f"'last', {j}, 'factor', concat({c}.factor, 'x', names[{j} - 1]), "
+            f"'sign', {c}.sign * signs[{j} - 1]))))"
+        )
     return (
-        _named_signs(runs, hubs)
-        .select("home", "run", F.explode(pairs).alias("f"))
+        runs.join(names, "home")
+        .select("home", "run", F.explode(F.expr(combos)).alias("f"))
         .select("home", "run", "f.factor", "f.sign")
     )
 
 
 def effects(
-    factors: DataFrame,
+    signs: DataFrame,
     metrics: DataFrame,
     names: Sequence[str] = EFFECT_METRICS,
     count_baseline: bool = True,
@@ -64,7 +62,7 @@ def effects(
         return F.sum(F.col("sign") * F.col(f"`{name}`")) / (F.count("*") / 2)
 
     return (
-        factors.join(rows, ["home", "run"])
+        signs.join(rows, ["home", "run"])
         .groupBy("home", "factor")
         .agg(*[effect(n).alias(n) for n in names])
     )
@@ -96,5 +94,23 @@ def effects_table(
     names: Sequence[str] = EFFECT_METRICS,
 ) -> DataFrame:
     """BL, avg, main effects and two-factor interactions of every metric, per home."""
-    factors = main_factors(runs, hubs).unionByName(pair_factors(runs, hubs))
-    return baseline_and_average(metrics, names).unionByName(effects(factors, metrics, names))
+    signs = factors(runs, hubs).unionByName(factors(runs, hubs, 2))
+    return baseline_and_average(metrics, names).unionByName(effects(signs, metrics, names))
+
+
+def effects_of_results(results: DataFrame) -> DataFrame:
+    """Effects table from stored results: home, run, a sign column per hub, and metrics."""
+    hub_columns, metric_columns = split_columns(results)
+    hub_columns = sorted(hub_columns)
+    signs = F.array(*[F.col(h) for h in hub_columns])
+    runs = results.select(
+        "home", "run", F.filter(signs, lambda s: s.isNotNull()).alias("signs")
+    )
+    present = F.array(*[F.when(F.col(h).isNotNull(), F.lit(h)) for h in hub_columns])
+    hubs = (
+        results.select("home", F.explode(present).alias("hub"))
+        .where(F.col("hub").isNotNull())
+        .distinct()
+    )
+    return effects_table(runs, hubs, results.select("home", "run", *metric_columns),
+                         metric_columns)

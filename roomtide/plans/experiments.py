@@ -73,7 +73,6 @@ def train(
     )
     if config.cv:
         complete = stage(complete_rows(labelled))
-        labelled = complete
         folded = models.assign_folds(complete, ["dataset"], config.n_folds)
         rows = stage(models.training_rows(spread(folded, "dataset", "day"), fold="fold"))
     else:
@@ -227,7 +226,20 @@ class FactorialResult:
     metrics: DataFrame
     models: DataFrame
 
+    def table(self, hub_names: Sequence[str]) -> DataFrame:
+        """Metrics per run with the run's sign of every hub."""
+        signs = designs.hub_columns(designs.long_design(self.runs, self.hubs), hub_names)
+        return signs.join(self.metrics, ["home", "run"])
+
+    def coefficients(self) -> DataFrame:
+        """Coefficients per home and run as long rows."""
+        parts = F.split("train_home", r"\|")
+        return models.coefficient_rows(self.models).select(
+            parts[0].alias("home"), parts[1].cast("int").alias("run"), "term", "value"
+        )
+
     def effects(self) -> DataFrame:
+        """Baseline, average, main effects and two-hub interactions of every metric."""
         return effects_table(self.runs, self.hubs, self.metrics)
 
 

@@ -453,12 +453,12 @@ def ffa_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def main_effects(spark: SparkSession, folder: str) -> DataFrame:
     runs, hubs, table = _run_metrics(spark, folder)
-    return rounded(effects.effects(effects.main_factors(runs, hubs), table), EFFECT_METRICS)
+    return rounded(effects.effects(effects.factors(runs, hubs), table), EFFECT_METRICS)
 
 
 def interaction_effects(spark: SparkSession, folder: str) -> DataFrame:
     runs, hubs, table = _run_metrics(spark, folder)
-    found = effects.effects(effects.pair_factors(runs, hubs), table, count_baseline=False)
+    found = effects.effects(effects.factors(runs, hubs, 2), table, count_baseline=False)
     return rounded(found, EFFECT_METRICS)
 
 
@@ -561,7 +561,7 @@ def split_sweep(spark: SparkSession, folder: str) -> DataFrame:
 def ffa_experiment(spark: SparkSession, folder: str) -> DataFrame:
     return experiments.factorial_experiment(
         sensor_readings(spark, folder), "audio_None", len(HUBS), HOUR, "half"
-    ).metrics
+    ).table(HUBS)
 
 
 def ffa_experiment_effects(spark: SparkSession, folder: str) -> DataFrame:

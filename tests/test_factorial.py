@@ -197,7 +197,7 @@ def effect_inputs(spark):
 def test_effects(spark, count_baseline):
     hubs, runs, table, values = effect_inputs(spark)
     half = (len(HALF4) + count_baseline) / 2
-    factors = effects.main_factors(runs, hubs).unionByName(effects.pair_factors(runs, hubs))
+    factors = effects.factors(runs, hubs).unionByName(effects.factors(runs, hubs, 2))
     shuffled = table.orderBy(F.rand(3))
     got = {r.factor: (r.Accuracy, r.F1) for r in effects.effects(
         factors, shuffled, ["Accuracy", "F1"], count_baseline).collect()}
@@ -220,6 +220,26 @@ def test_effects_table(spark):
     assert len(rows) == 2 + 4 + 6
 
 
+def test_three_hub_interactions(spark):
+    hubs, runs, _, _ = effect_inputs(spark)
+    rows = effects.factors(runs.where("run > 0"), hubs, 3).collect()
+    got = {(r.run, r.factor): r.sign for r in rows}
+    for run, signs in enumerate(HALF4, 1):
+        for combo in itertools.combinations(range(4), 3):
+            name = "x".join(HUBS4[i] for i in combo)
+            assert got[(run, name)] == np.prod([signs[i] for i in combo])
+    assert len(got) == 8 * 4
+
+
+def test_effects_of_stored_results_equal_direct_ones(spark):
+    hubs, runs, table, _ = effect_inputs(spark)
+    signs = designs.hub_columns(designs.long_design(runs, hubs), [*HUBS4, "RS9"])
+    stored = signs.join(table, ["home", "run"])
+    names = ["Accuracy", "F1"]
+    direct = {tuple(r) for r in effects.effects_table(runs, hubs, table, names).collect()}
+    assert {tuple(r) for r in effects.effects_of_results(stored).collect()} == direct
+
+
 def test_result_columns_are_told_apart(spark):
     df = spark.createDataFrame([(1, 1, 0.5, 3)], "RS1 INT, BS2 INT, Accuracy DOUBLE, other INT")
     assert effects.split_columns(df) == (["RS1", "BS2"], ["Accuracy"])
