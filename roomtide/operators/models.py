@@ -288,7 +288,7 @@ def _fit_slice(
             kept = np.abs(trial[good])[:, :-1].sum(axis=1)
             direction[taken] = step
             expected[taken] = (gradient * step).sum(axis=1) + lam[good] * (moved - kept)
-            length[taken] = 1.0
+            length[taken] = np.minimum(1.0, 4.0 * length[taken])
         done = (violation[open_ids] <= tolerance * penalty[open_ids]) | (
             length[open_ids] < 1e-8
         )
