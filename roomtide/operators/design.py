@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomtide.schemas import NO_CHANNEL
-
 MAX_HUBS = 12
 
 

@@ -5,10 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import START, readings
+from helpers import readings
 from roomtide.operators import design as designs
 from roomtide.operators import effects, factorial
-from roomtide.operators import timeseries as ts_ops
 from roomtide.plans import experiments
 from roomtide.plans.features import filled_bins
 from roomtide.schemas import INFERENCES
