@@ -6,39 +6,60 @@ import functools
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_STAGED: dict[str, list[str]] = {}
+
 
 @functools.lru_cache(maxsize=None)
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="roomtide-")
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+def shared_folder(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the setting is missing, a single-machine session uses a folder of its own; a
+    cluster must name one, because executors cannot see each other's local disks.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master.startswith("local") and not master.startswith("local-cluster"):
         return _local_folder()
-    return None
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def new_folder(spark: SparkSession) -> str:
+    """Name of a fresh folder below ``shared_folder``, known to ``release``."""
+    path = f"{shared_folder(spark)}/roomtide-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Later steps scan only the columns they need, see exact sizes, and lose nothing when
-    an executor goes away.  On a cluster that names no folder the table is persisted
-    with its lineage instead.
+    an executor goes away.  ``release`` deletes the tables.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{folder}/roomtide-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table staged by this application; returns their number.
+
+    Call it when no frame that reads them is needed any more.
+    """
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
