@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import sharding
+from roomtide.llm import bpe, sharding
+
+#: Folder of public vocabulary files; a parameter of the operators that read them.
+TOKENIZERS = "/opt/tokenizers"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +29,14 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "row_number", "position")
 
 
+def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(documents, f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_shards": op2_feistel_shards,
+    "op4_bpe_automaton": op4_bpe_automaton,
 }
 
 #: The keyed hashes, models and automata of these operators have no SQL; tests hold them against brute force.
