@@ -152,13 +152,21 @@ class Tokenizer:
         vocabulary = {w: i for w, i in model["vocab"].items() if w not in added}
         self.automaton = Automaton(vocabulary, merges, suffix)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self._encoder: Encoder | None = None
         self.automaton.label |= {str(i): t for t, i in self.special.items()}
 
 
+    def encoder(self) -> Encoder:
+        """The process's encoder: its words outlive a task where Spark reuses the worker."""
+        if self._encoder is None:
+            self._encoder = Encoder(self)
+        return self._encoder
+
+
 class Encoder(dict):
-    """word -> its ids as decimal text; words are run once, then looked up."""
+    """word -> its ids as decimal text; words are run once, then looked up, ``most`` at a time."""
 
-    most = 400_000
+    most = 500_000
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         super().__init__()
@@ -214,7 +222,7 @@ def encode(documents: DataFrame, path: str, texts: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        encoder = Encoder(shared.value)
+        encoder = shared.value.encoder()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)

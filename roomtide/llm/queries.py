@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, sharding
+from roomtide.llm import bpe, decontamination, language, sharding
 
 #: Folder of public vocabulary files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -34,9 +34,24 @@ def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, a row per document and item."""
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "item_size", "containment")
+
+
+def op9_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 3) == 1
+    found = language.identify(documents, held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_shards": op2_feistel_shards,
     "op4_bpe_automaton": op4_bpe_automaton,
+    "op5_benchmark_containment": op5_benchmark_containment,
+    "op9_string_kernel_language": op9_string_kernel_language,
 }
 
 #: The keyed hashes, models and automata of these operators have no SQL; tests hold them against brute force.
