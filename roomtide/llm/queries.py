@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, language, sharding
+from roomtide.llm import bpe, decontamination, hnsw, language, sharding, tokenfiles
 
 #: Folder of public vocabulary files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -47,11 +47,23 @@ def op9_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in the flat files that hold them."""
+    found = tokenfiles.counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return found.select("doc_id", "n_tokens", "ordinal")
+
+
+def op10_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_shards": op2_feistel_shards,
     "op4_bpe_automaton": op4_bpe_automaton,
     "op5_benchmark_containment": op5_benchmark_containment,
+    "op7_separator_scan": op7_separator_scan,
     "op9_string_kernel_language": op9_string_kernel_language,
+    "op10_small_world_neighbours": op10_small_world_neighbours,
 }
 
 #: The keyed hashes, models and automata of these operators have no SQL; tests hold them against brute force.
