@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, hnsw, language, sharding, tokenfiles
+from roomtide.llm import bpe, decontamination, hnsw, language, sharding, tokenfiles, toxicity
 
 #: Folder of public vocabulary files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -47,6 +47,13 @@ def op9_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 3) == 1
+    found = toxicity.classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              table(spark, sf_dir, "labels"), held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "windows")
+
+
 def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted in the flat files that hold them."""
     found = tokenfiles.counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
@@ -61,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_shards": op2_feistel_shards,
     "op4_bpe_automaton": op4_bpe_automaton,
     "op5_benchmark_containment": op5_benchmark_containment,
+    "op6_recurrent_toxicity": op6_recurrent_toxicity,
     "op7_separator_scan": op7_separator_scan,
     "op9_string_kernel_language": op9_string_kernel_language,
     "op10_small_world_neighbours": op10_small_world_neighbours,
