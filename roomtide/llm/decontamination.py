@@ -28,13 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.llm.bitmaps import bitmap, slots, unpacked
+from roomtide.runtime import stage
+
 WORDS = 5
 CONTAINED = 0.8
-BITS = 1 << 24
-
-
-def _bit(hashes: np.ndarray) -> np.ndarray:
-    return (hashes % np.uint64(BITS)).astype(np.int64)
 
 
 def item_shingles(benchmark: DataFrame, words: int = WORDS, contained: float = CONTAINED) -> DataFrame:
@@ -81,32 +79,20 @@ def _arrow(df: DataFrame, column: str) -> pa.DataType:
     return to_arrow_type(df.schema[column].dataType)
 
 
-def _bitmap(items: DataFrame) -> bytes:
-    """Bit map of BITS bits, set where an item shingle's hash falls."""
-    out = np.zeros(BITS, bool)
-    position = F.pmod(F.col("hash").cast("decimal(20,0)") + F.when(F.col("hash") < 0, F.expr("18446744073709551616BD")).otherwise(
-        F.expr("0BD")), F.lit(BITS)).cast("long")
-    grouped = items.select(position.alias("p")).groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("b")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("m"))
-    for b, m in grouped.collect():  # at most BITS / 32768 rows of 4 KB
-        bits = np.unpackbits(np.frombuffer(bytes(m), np.uint8), bitorder="little").view(bool)
-        out[(b - 1) * 32768:(b - 1) * 32768 + len(bits)] |= bits
-    return np.packbits(out).tobytes()
-
-
 def hits(documents: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, print (of the text), size, n, hash, shingle: runs of words that may be item shingles,
     for documents with a possible signature value."""
     spark = documents.sparkSession
     lengths = sorted(r[0] for r in items.select("n").distinct().collect())  # at most `words` rows
-    shared = spark.sparkContext.broadcast((_bitmap(items), _bitmap(items.where("signature"))))
+    shared = spark.sparkContext.broadcast(
+        (bitmap(items, "hash"), bitmap(items.where("signature"), "hash")))
     id_kind = _arrow(documents, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from roomtide.llm.words import Hasher, shingles, slices, words_of
 
         hasher = Hasher()
-        every, signature = (np.unpackbits(np.frombuffer(m, np.uint8)).view(bool) for m in shared.value)
+        every, signature = map(unpacked, shared.value)
         for batch in slices(batches, "text"):
             found = words_of(batch.column("text"), hasher)
             doc_of = np.repeat(np.arange(batch.num_rows), np.diff(found.first))
@@ -115,7 +101,7 @@ def hits(documents: DataFrame, items: DataFrame) -> DataFrame:
                 if len(found.hashes) < n:
                     continue
                 runs = shingles(found.hashes, n)
-                bits = _bit(runs)
+                bits = slots(runs)
                 inside = doc_of[:len(runs)] == doc_of[n - 1:]
                 candidates = np.zeros(batch.num_rows, bool)
                 candidates[doc_of[:len(runs)][inside & signature[bits]]] = True
@@ -146,8 +132,6 @@ def hits(documents: DataFrame, items: DataFrame) -> DataFrame:
 def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
                  contained: float = CONTAINED) -> DataFrame:
     """doc_id, print, item_id, item, part, matched, item_size, containment of every contained item."""
-    from roomtide.runtime import stage
-
     items = stage(item_shingles(benchmark, words, contained))
     found = hits(documents, items).withColumnRenamed("n", "_n")
     wanted = items.withColumnRenamed("n", "_m").drop("item_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, hnsw, language, sharding, tokenfiles, toxicity
+from roomtide.llm import bpe, decontamination, hnsw, jaccard, language, sharding, tokenfiles, toxicity
 
 #: Folder of public vocabulary files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -40,6 +40,11 @@ def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "matched", "item_size", "containment")
 
 
+def op8_multi_order_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.groups(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 3) == 1
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_benchmark_containment": op5_benchmark_containment,
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
     "op7_separator_scan": op7_separator_scan,
+    "op8_multi_order_jaccard": op8_multi_order_jaccard,
     "op9_string_kernel_language": op9_string_kernel_language,
     "op10_small_world_neighbours": op10_small_world_neighbours,
 }
