@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, hnsw, jaccard, language, sharding, tokenfiles, toxicity
+from roomtide.llm import bpe, decontamination, hnsw, jaccard, language, sharding, surrogates, tokenfiles, toxicity
 
 #: Folder of public vocabulary files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -22,6 +22,10 @@ def remainder(doc_id: str, by: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % by
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -70,6 +74,7 @@ def op10_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_surrogates": op1_surrogates,
     "op2_feistel_shards": op2_feistel_shards,
     "op4_bpe_automaton": op4_bpe_automaton,
     "op5_benchmark_containment": op5_benchmark_containment,
