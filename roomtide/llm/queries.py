@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, hnsw, jaccard, language, sharding, surrogates, tokenfiles, toxicity
+from roomtide.llm import bpe, decontamination, hmm, hnsw, jaccard, language, sharding, surrogates, tokenfiles, toxicity
 
 #: Folder of public vocabulary files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -33,6 +33,10 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "row_number", "position")
 
 
+def op3_hidden_markov_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0)
+
+
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(documents, f"{TOKENIZERS}/word_bpe_49k.json")
@@ -76,6 +80,7 @@ def op10_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
     "op2_feistel_shards": op2_feistel_shards,
+    "op3_hidden_markov_model": op3_hidden_markov_model,
     "op4_bpe_automaton": op4_bpe_automaton,
     "op5_benchmark_containment": op5_benchmark_containment,
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
