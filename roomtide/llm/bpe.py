@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 # Fixed value: the pattern that splits text into words in the tokenizer file this module reads.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -244,9 +245,8 @@ def encode(documents: DataFrame, path: str, texts: bool = False) -> DataFrame:
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(out, names)
 
-    from pyspark.sql.types import StructType
     schema = StructType(kinds).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if texts:
-        schema = schema.add("ids", "array<int>").add("decoded", "string")
+        schema = schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
     source = documents.select(*kept, F.col("text").cast("string").alias("_text"))
     return source.mapInArrow(run, schema)

@@ -12,8 +12,8 @@ order's inverted lists, must also share prefix tokens under the other orders, an
 full sets that are computed again from the text of just those documents.
 
 Lists longer than HOT are not paired up: each member is verified against the list's first; after
-that only members of different components are paired, by a join that Spark may split.  No list,
-candidate or link is dropped.
+that only members without a common first are paired, by a join that Spark may split and that tests
+all conditions inside.  No list, candidate or link is dropped.
 
 Defined results: null and blank texts have an empty set and link with nothing; fewer than n words
 are one shingle; documents with equal ids are told apart by their sets; a component's id is its
@@ -357,26 +357,28 @@ def links(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFr
     if long.isEmpty():
         return found
     hot = stage(lists.join(long, "token"))
-    stars = hot.where("class <> lead").select(F.least("class", "lead").alias("a"), F.greatest("class", "lead").alias("b"))
-    found = found.unionByName(_verified(stars.distinct(), prefixes, documents, n, percent))
-    roots = components(found)
-    named = hot.join(roots, hot["class"] == roots["node"], "left").select(
-        "token", "class", "n", F.coalesce("root", "class").alias("root"))
-    open_lists = named.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
-    left = named.join(open_lists.select("token"), "token", "left_semi")
-    names = stage(left.select("class").distinct())
-    sets = _full_sets(names, documents, n).join(prefixes.select("class", "prefix", "filters"), "class")
-    full = left.join(sets, "class")
+    sets = stage(_full_sets(stage(hot.select("class").distinct()), documents, n).join(
+        prefixes.select("class", "prefix", "filters"), "class"))
+    stars = (hot.where("class <> lead").select("class", "lead").distinct()
+             .join(sets.select("class", F.col("tokens").alias("ta")), "class")
+             .join(sets.select(F.col("class").alias("lead"), F.col("tokens").alias("tb")), "lead"))
+    stars = stage(stars.where(F.expr(_linked("ta", "tb", percent))).select(F.col("class").alias("a"), F.col("lead").alias("b")))
+    # Members linked to the same lead are connected already and need no test against each other.
+    roots = stars.groupBy(F.col("a").alias("class")).agg(F.min("b").alias("root"))
+    named = hot.join(roots, "class", "left").select("token", "class", "n", F.coalesce("root", "class").alias("root"))
+    several = named.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
+    full = stage(named.join(several.select("token"), "token", "left_semi").join(sets, "class"))
     x, y = full.alias("x"), full.alias("y")
     # All conditions stand in the join: a pair is tested at its first common token and becomes a row
     # only if it links.
     shared = " and ".join(f"arrays_overlap(x.filters[{k}], y.filters[{k}])" for k in range(ORDERS - 1))
     rest = x.join(y, F.expr(
         "x.token = y.token and x.class < y.class and x.root <> y.root"
-        f" and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-        f" and element_at(array_intersect(x.prefix, y.prefix), 1) = x.token and {shared}"
+        f" and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and {shared}"
+        f" and element_at(array_intersect(x.prefix, y.prefix), 1) = x.token"
         f" and {_linked('x.tokens', 'y.tokens', percent)}"))
-    return found.unionByName(stage(rest.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))))
+    rest = stage(rest.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")))
+    return found.unionByName(stars).unionByName(rest)
 
 
 def groups(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -398,6 +400,7 @@ def deduplicated(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFra
     Documents with an empty set all stay.  Rows that share the smallest id stay together only if
     they are of different groups.
     """
-    keep = groups(documents, n, percent).where((F.col("doc_id") == F.col("component_id")) | (F.col("n_shingles") == 0))
+    keep = groups(documents, n, percent).where(
+        F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0))
     slim = keep.select(F.col("doc_id").alias("_id")).distinct()
     return documents.join(slim, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")

@@ -194,7 +194,11 @@ class Network:
                     seen[label] += np.bincount(pair[0][y[pair[1]] == label], minlength=size)
             share = (seen + 0.5) / (np.bincount(y, minlength=2)[:, None] + 1)
             total = seen.sum(0)
-            odds = np.clip(np.log(share[1] / share[0]), -3, 3) * total / (total + 5)
+            # Slots whose shares differ by chance alone count nothing (pooled z score of 2 to 4).
+            size_of = np.bincount(y, minlength=2)
+            pooled = np.clip(total / len(y), 1e-9, 1 - 1e-9)
+            z = np.abs(seen[1] / size_of[1] - seen[0] / size_of[0]) / np.sqrt(pooled * (1 - pooled) * (1 / size_of).sum())
+            odds = np.clip(np.log(share[1] / share[0]), -3, 3) * np.clip((z - 2) / 2, 0, 1)
             # Slots of fewer than three texts are left at zero: they could only be learned by heart.
             usual[name] = (total >= 3).astype(np.float32)[:, None]
             self.p[name][:, 0] += odds.astype(np.float32) / 3
@@ -221,7 +225,8 @@ class Network:
                 for k, v in self.p.items():
                     first[k] = 0.9 * first[k] + 0.1 * g[k]
                     second[k] = 0.99 * second[k] + 0.01 * g[k] ** 2
-                    v -= rate * (first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6) + 1e-4 * v).astype(np.float32)
+                    # Embeddings move slowly: the context of a mark must not be learned by heart.
+                    v -= (0.03 if k in usual else 1) * rate * (first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6) + 1e-4 * v).astype(np.float32)
 
 
 def train(documents: DataFrame, labels: DataFrame, per_class: int = 700, characters: int = 20_000) -> Network | None:
