@@ -18,7 +18,7 @@ def each(template: str, names=CHANNELS, sep: str = ", ") -> str:
 
 
 def r9(expr: str, name: str, digits: int = 9) -> str:
-    return f'round({expr}, {digits}) AS "{name}"'
+    return f'round({expr}, {digits}) + 0.0::DOUBLE AS "{name}"'
 
 
 READINGS = """

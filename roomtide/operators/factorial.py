@@ -174,7 +174,7 @@ def outer_join_hubs(inferences: DataFrame, channel: str, hubs: Sequence[str]) ->
         "home", "day", "hr_min_sec", "occupied"
     ).agg(
         *[
-            F.max(F.when(F.col("hub") == h, F.col(channel))).alias(f"{channel}_{h[2]}")
+            F.max(F.when(F.col("hub") == h, F.col(channel))).alias(f"{channel}_{h[2:]}")
             for h in hubs
         ]
     )
@@ -210,7 +210,7 @@ def runs_on_states(
     )
     silent = f"forall(map_values(channels), c -> c = '{NO_CHANNEL}')"
     pick = (
-        "named_struct('column', concat(channels[e.hub], '_', substr(e.hub, 3, 1)), 'value', "
+        "named_struct('column', concat(channels[e.hub], '_', substr(e.hub, 3)), 'value', "
         "CASE channels[e.hub] WHEN 'img' THEN e.img WHEN 'audio' THEN e.audio END)"
     )
     picked = f"filter(transform(state, e -> {pick}), p -> p.value IS NOT NULL)"

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomtide.functions import clock, numeric
+from roomtide.runtime import spread
 from roomtide.schemas import ENV, EXOGENOUS, FEATURES, LAGS, ROWS_PER_LAG
 
 OR_CHANNELS = {"ai": ("audio", "img"), "aie": ("audio", "img", *ENV)}
@@ -160,7 +161,8 @@ def rollout(
                 [*columns, pa.array(out)], names=[*kept, "prob_ar"]
             )
 
-    ordered = df.repartition(series).sortWithinPartitions(series, "series_pos")
+    # A fixed number of tasks: by bytes, the few numbers of many series would meet in one.
+    ordered = spread(df, series).sortWithinPartitions(series, "series_pos")
     return ordered.mapInArrow(run, schema).withColumn(
         "pred_ar", numeric.above(F.col("prob_ar"))
     )

@@ -110,6 +110,9 @@ def position_in(segment: str, bin_minutes: int) -> Column:
     return (F.col(f"{segment}seg_offset") + distance).cast("long")
 
 
+DAY_MINUTES = 24 * 60
+
+
 def span_days(spans: DataFrame) -> DataFrame:
     """Repeat each span row for every day it touches."""
     days = "explode(sequence(to_date(first_ts), to_date(last_ts), INTERVAL '1' DAY))"
@@ -117,7 +120,12 @@ def span_days(spans: DataFrame) -> DataFrame:
 
 
 def spine(spans: DataFrame, bin_minutes: int = 5) -> DataFrame:
-    """Every bin between a hub's first and last one, with its row position."""
+    """Every bin between a hub's first and last one, with its row position.
+
+    Bins start at midnight each day, so their width must divide a day.
+    """
+    if DAY_MINUTES % bin_minutes:
+        raise ValueError(f"a bin of {bin_minutes} minutes does not divide a day")
     step = f"INTERVAL '{bin_minutes}' MINUTE"
     first = "greatest(first_ts, cast(day AS TIMESTAMP_NTZ))"
     last = f"least(last_ts, cast(day AS TIMESTAMP_NTZ) + INTERVAL '1' DAY - {step})"

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from roomtide.operators.splits import (
 )
 from roomtide.plans.features import complete_rows, filled_bins, prepare
 from roomtide.runtime import spread, stage
+from roomtide.schemas import LAGS
 from roomtide.sources.config import TrainConfig
 
 # Report names of the predictors and their prediction columns.
@@ -96,24 +98,29 @@ def series_rows(
     """Rows of every test series with its model's ``coef`` and its ``series_pos``.
 
     ``tests`` lists ``series_id``, ``dataset`` (the model), unit and day.  Positions come
-    from per-day row counts, so no series is ever sorted as a whole here.
+    from per-day row counts, so no series is ever sorted as a whole here.  Rows without all
+    lags have no position: the regressions cannot score them, the other predictors do.
+    A test series whose model is missing is an error.
     """
-    rows = complete_rows(features)
-    places = rows.groupBy(*unit, "day").agg(
+    wanted = tests.select("dataset").distinct()
+    if not wanted.join(fitted.select("dataset"), "dataset", "left_anti").isEmpty():
+        raise ValueError("a test series asks for a model that has no training rows")
+    complete = complete_rows(features)
+    places = complete.groupBy(*unit, "day").agg(
         F.min("pos").alias("first_pos"), F.count("*").alias("n_rows")
     )
     earlier = (
         Window.partitionBy("series_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     )
     schedule = (
-        tests.join(places, [*unit, "day"])
+        tests.join(places, [*unit, "day"], "left")
         .withColumn("offset", F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)))
         .join(fitted.select("dataset", "coef"), "dataset")
         .select("series_id", "dataset", *unit, "day", "first_pos", "offset", "coef")
     )
-    return rows.join(stage(schedule), [*unit, "day"]).withColumn(
-        "series_pos", F.col("offset") + F.col("pos") - F.col("first_pos")
-    )
+    known = reduce(and_, [F.col(c).isNotNull() for c in LAGS])
+    place = F.col("offset") + F.col("pos") - F.col("first_pos")
+    return features.join(stage(schedule), [*unit, "day"]).withColumn("series_pos", F.when(known, place))
 
 
 def predict_instant(rows: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -124,7 +131,7 @@ def predict_instant(rows: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def predict_rollout(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The regression fed with its own predictions; only needed columns reach Python."""
-    ready = predictors.rollout_input(rows)
+    ready = predictors.rollout_input(rows.where(F.col("series_pos").isNotNull()))
     return predictors.rollout(
         ready.select("series_id", "series_pos", "ts", "occupied", *keep, "base", "lag_weights")
     )
@@ -134,7 +141,10 @@ def predict_all(rows: DataFrame, trained: Trained) -> DataFrame:
     """Probabilities and classes of all five predictors per test row."""
     instant = predict_instant(rows, stage(trained.lookup))
     kept = [f"{kind}_{name}" for name in ("ai", "aie", "np", "gt") for kind in ("prob", "pred")]
-    return predict_rollout(instant, kept)
+    rolled = predict_rollout(instant, kept)
+    # Rows without all lags: the regressions have no opinion, and metrics leave NULL out.
+    rest = instant.where(F.col("series_pos").isNull()).select("series_id", "series_pos", "ts", "occupied", *kept)
+    return rolled.unionByName(rest, allowMissingColumns=True)
 
 
 def experiment_metrics(predictions: DataFrame, names: dict[str, str] = PREDICTORS) -> DataFrame:

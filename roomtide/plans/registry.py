@@ -54,8 +54,11 @@ def sensor_readings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, columns: Sequence[str], digits: int = DIGITS) -> DataFrame:
-    """Round derived doubles, whose last bits depend on the order of summation."""
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in columns})
+    """Round derived doubles, whose last bits depend on the order of summation.
+
+    Adding zero turns the minus zero that rounding may leave into zero.
+    """
+    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) + F.lit(0.0) for c in columns})
 
 
 def _prepared(spark: SparkSession, folder: str, bin_minutes: int = HOUR):
@@ -227,7 +230,7 @@ def _example_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 def score_true_lags(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = _example_rows(spark, folder)
-    scored = predictors.score_true_lags(rows)
+    scored = predictors.score_true_lags(rows.where(F.col("series_pos").isNotNull()))
     return rounded(
         scored.select(
             F.col("dataset").alias("train"), F.col("home").alias("test"), "ts", "series_pos",
@@ -391,7 +394,7 @@ def hub_selection(spark: SparkSession, folder: str) -> DataFrame:
 def ffa_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Outer join of all hubs' audio, sentinel rows dropped, any-hub-positive prediction."""
     joined = factorial.outer_join_hubs(_inferences(spark, folder), "audio", HUBS)
-    columns = [f"audio_{h[2]}" for h in HUBS]
+    columns = [f"audio_{h[2:]}" for h in HUBS]
     kept = factorial.drop_sentinels(joined, [*columns, "occupied"])
     total = sum((F.coalesce(F.col(c), F.lit(0)) for c in columns[1:]),
                 F.coalesce(F.col(columns[0]), F.lit(0)))

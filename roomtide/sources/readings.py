@@ -18,26 +18,34 @@ def _from_file_name(group: int) -> Column:
 
 
 def read_hub_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Hub CSV files such as ``H1RS1.csv``; home and hub come from the file name."""
-    raw = spark.read.schema(HUB_CSV).option("enforceSchema", False).csv(paths, header=True)
-    return raw.select(
+    """Hub CSV files such as ``H1RS1.csv``; home and hub come from the file name.
+
+    Columns are found by name, in any order, and others are ignored.  Files read together
+    must agree in their header; Spark refuses them otherwise.
+    """
+    text = spark.read.option("enforceSchema", False).csv(paths, header=True)
+    typed = {f.name: F.col(f.name).cast(f.dataType) for f in HUB_CSV.fields}
+    return text.select(
         _from_file_name(1).alias("home"),
         _from_file_name(2).alias("hub"),
-        F.col("timestamp").alias("ts"),
-        *[nan_to_null(F.col(c)).alias(c) for c in (*CHANNELS, "occupied")],
+        typed["timestamp"].alias("ts"),
+        *[nan_to_null(typed[c]).alias(c) for c in (*CHANNELS, "occupied")],
     )
 
 
 def read_truth_csv(
-    spark: SparkSession, path: str, home: str, persons: Sequence[str]
+    spark: SparkSession, path: str, home: str, persons: Sequence[str] | None = None
 ) -> DataFrame:
-    """Ground truth of one home: a 0/1 column per person and ``occupied``."""
-    columns = ", ".join(f"`{p}` INT" for p in (*persons, "occupied"))
-    return (
-        spark.read.schema(f"timestamp TIMESTAMP_NTZ, {columns}")
-        .option("enforceSchema", False)
-        .csv(path, header=True)
-        .select(F.lit(home).alias("home"), F.col("timestamp").alias("ts"), *persons, "occupied")
+    """Ground truth of one home: a 0/1 column per person and ``occupied``.
+
+    Without ``persons``, every column but the time and the label is a person.
+    """
+    text = spark.read.option("enforceSchema", False).csv(path, header=True)
+    if persons is None:
+        persons = [c for c in text.columns if c not in ("timestamp", "occupied")]
+    marks = [F.col(f"`{c}`").cast("int").alias(c) for c in (*persons, "occupied")]
+    return text.select(
+        F.lit(home).alias("home"), F.col("timestamp").cast("timestamp_ntz").alias("ts"), *marks
     )
 
 

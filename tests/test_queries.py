@@ -62,3 +62,14 @@ def test_lookup_matrix_equals_long_predictions(spark):
 def test_experiments_run(spark, name):
     result = driver.queries()[name](spark, FOLDER)
     assert result.count() == {"split_sweep": 350, "ffa_experiment_effects": 39, "run_params": 6}[name]
+
+
+def test_sweep_keeps_test_rows_without_known_lags(spark):
+    """The lookup scores every test row, also the first ones of a recording."""
+    keys = ("home", "split", "direction")
+    sweep = driver.queries()["split_sweep"](spark, FOLDER).where("function = 'Nonparametric'")
+    counted = driver.queries()["split_direction_nonparametric"](spark, FOLDER)
+    cells_of = {name: {tuple(str(r[k]) for k in keys): (r.tn, r.fp, r.fn, r.tp) for r in df.collect()}
+                for name, df in (("sweep", sweep), ("counted", counted))}
+    assert cells_of["sweep"] == {k: cells_of["counted"][k] for k in cells_of["sweep"]}
+    assert len(cells_of["sweep"]) == 70

@@ -161,3 +161,17 @@ def test_run_record(spark, tmp_path):
     assert row.hubs == ["RS1", "RS2"] and row.params["C"] == "0.1" and row.best_c == 0.1
     sinks.write_run_parameters(record, f"{tmp_path}/p")
     assert spark.read.json(f"{tmp_path}/p").first().fill == "zeros"
+
+
+def test_hub_csv_columns_are_found_by_name(spark, tmp_path):
+    names = ["img", "extra", "timestamp", "audio", "co2eq", "light", "rh", "temp", "occupied"]
+    (tmp_path / "H2RS11.csv").write_text(",".join(names) + "\n2,x,2024-01-05 00:00:00,1,6,5,4,3,1\n")
+    row = sources.read_hub_csv(spark, str(tmp_path)).first()
+    assert (row.home, row.hub, row.audio, row.img, row.temp, row.rh, row.light, row.co2eq, row.occupied) == (
+        "H2", "RS11", 1, 2, 3, 4, 5, 6, 1)
+
+
+def test_persons_of_a_truth_file_are_discovered(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("bo,timestamp,occupied,al\n1,2024-01-05 00:00:00,1,0\n")
+    out = sources.read_truth_csv(spark, str(tmp_path), "H1")
+    assert out.columns == ["home", "ts", "bo", "al", "occupied"] and out.first().bo == 1
