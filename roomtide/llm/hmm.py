@@ -39,7 +39,7 @@ SEGMENT = 128
 ROUNDS = 3
 SMOOTH = 0.1
 RANGE_WORDS = 8 << 20
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 6 << 20
 
 
 class Classes:
