@@ -139,8 +139,10 @@ class Network:
         return (logit, (e, real, saved, s, q, weight, pooled)) if keep else logit
 
     def gradient(self, slots: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean logistic loss."""
+        """Of the mean logistic loss; only words of these windows are touched."""
         h = HIDDEN
+        used, at = np.unique(np.append(rows.ravel(), len(slots) - 1), return_inverse=True)
+        slots, rows = slots[used], at.ravel()[:-1].reshape(rows.shape)
         logit, (e, real, saved, s, q, weight, pooled) = self.forward(slots, rows, True)
         d = ((_sigmoid(logit) - labels) / len(rows)).astype(np.float32)
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -189,9 +191,9 @@ class Network:
         for name, size, column in (("word", WORDS, [0]), ("gram", GRAMS, range(1, slots.shape[1]))):
             seen = np.zeros((2, size))
             for c in column:
-                pair = np.unique(np.stack([slots[row, c], owner]), axis=1)
+                slot, of = np.divmod(np.unique(slots[row, c] * len(texts) + owner), len(texts))
                 for label in (0, 1):
-                    seen[label] += np.bincount(pair[0][y[pair[1]] == label], minlength=size)
+                    seen[label] += np.bincount(slot[y[of] == label], minlength=size)
             share = (seen + 0.5) / (np.bincount(y, minlength=2)[:, None] + 1)
             total = seen.sum(0)
             # Slots whose shares differ by chance alone count nothing (pooled z score of 2 to 4).
