@@ -11,9 +11,10 @@ and a class whose prefix is full of such tokens has no candidate.  Candidates co
 order's inverted lists, must also share prefix tokens under the other orders, and are verified on
 full sets that are computed again from the text of just those documents.
 
-Lists longer than HOT are not paired up: each member is verified against the list's first; after
-that only members without a common first are paired, by a join that Spark may split and that tests
-all conditions inside.  No list, candidate or link is dropped.
+Lists longer than HOT are not paired up at first: each member is verified against LEADS members
+that stand in the most such lists, and what these links connect is found before anything else.  After that only members of
+different components are paired, in long lists by a join that Spark may split and that tests all
+conditions inside.  No list or candidate that could connect anything is dropped.
 
 Defined results: null and blank texts have an empty set and link with nothing; fewer than n words
 are one shingle; documents with equal ids are told apart by their sets; a component's id is its
@@ -35,6 +36,7 @@ from roomtide.runtime import stage
 
 ORDERS = 3
 HOT = 256
+LEADS = 4
 RANGE_TOKENS = 4 << 20
 FLUSH_TOKENS = 4 << 20
 
@@ -241,18 +243,19 @@ def _prefixes(shared: DataFrame, parts: int, percent: int) -> DataFrame:
 
 
 def _pairs(lists: DataFrame, parts: int, percent: int) -> DataFrame:
-    """Pairs of classes in the same list whose sizes allow a link; no list is longer than HOT."""
+    """Pairs of classes in the same list whose roots differ and whose sizes allow a link; no list is
+    longer than HOT."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right, held = [], [], 0
         for batch in tokens_together(batches):
-            token, name, size = batch
+            token, name, size, root = batch
             begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             for a, b in zip(begin, np.append(begin[1:], len(token))):
                 if b - a < 2:
                     continue
                 i, j = np.triu_indices(b - a, 1)
                 small, large = np.minimum(size[a + i], size[a + j]), np.maximum(size[a + i], size[a + j])
-                fits = 100 * small >= percent * large
+                fits = (100 * small >= percent * large) & (root[a + i] != root[a + j])
                 x, y = name[a + i[fits]], name[a + j[fits]]
                 left.append(np.minimum(x, y))
                 right.append(np.maximum(x, y))
@@ -269,7 +272,7 @@ def _pairs(lists: DataFrame, parts: int, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [np.asarray(batch.column(c)) for c in ("token", "class", "n")]
+            now = [np.asarray(batch.column(c)) for c in ("token", "class", "n", "root")]
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now)]
             cut = int(np.searchsorted(now[0], now[0][-1], "left"))
@@ -351,21 +354,30 @@ def links(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFr
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 2)
     prefixes = stage(_prefixes(_shared(_ranged(documents, n, ranges), parts), parts, percent))
     lists = prefixes.select(F.explode("prefix").alias("token"), "class", "n")
-    long = stage(lists.groupBy("token").agg(
-        F.count("*").alias("members"), F.min_by("class", F.struct("n", "class")).alias("lead")).where(f"members > {HOT}"))
-    found = _verified(_pairs(lists.join(long, "token", "left_anti"), parts, percent), prefixes, documents, n, percent)
+    long = stage(lists.groupBy("token").agg(F.count("*").alias("members")).where(f"members > {HOT}"))
     if long.isEmpty():
-        return found
+        return _verified(_pairs(lists.withColumn("root", F.col("class")), parts, percent), prefixes, documents, n, percent)
     hot = stage(lists.join(long, "token"))
     sets = stage(_full_sets(stage(hot.select("class").distinct()), documents, n).join(
         prefixes.select("class", "prefix", "filters"), "class"))
-    stars = (hot.where("class <> lead").select("class", "lead").distinct()
+    # The class with the most long lists, once per hash bucket: likely an original of near copies.
+    often = hot.groupBy("class").agg(F.count("*").alias("lists"))
+    leads = (hot.join(often, "class")
+             .groupBy("token", F.pmod(F.xxhash64("class"), F.lit(LEADS)).alias("bucket"))
+             .agg(F.max_by("class", F.struct("lists", "class")).alias("lead"))
+             .groupBy("token").agg(F.collect_set("lead").alias("leads")))
+    stars = (hot.join(leads, "token").select("class", F.explode("leads").alias("lead"))
+             .where("class <> lead").distinct()
              .join(sets.select("class", F.col("tokens").alias("ta")), "class")
              .join(sets.select(F.col("class").alias("lead"), F.col("tokens").alias("tb")), "lead"))
     stars = stage(stars.where(F.expr(_linked("ta", "tb", percent))).select(F.col("class").alias("a"), F.col("lead").alias("b")))
-    # Members linked to the same lead are connected already and need no test against each other.
-    roots = stars.groupBy(F.col("a").alias("class")).agg(F.min("b").alias("root"))
-    named = hot.join(roots, "class", "left").select("token", "class", "n", F.coalesce("root", "class").alias("root"))
+    # Classes that these links connect need no test against each other.
+    roots = components(stars).withColumnRenamed("node", "class")
+    owned = stage(prefixes.join(roots, "class", "left").select(
+        F.explode("prefix").alias("token"), "class", "n", F.coalesce("root", "class").alias("root")))
+    short = owned.join(long, "token", "left_anti")
+    found = _verified(_pairs(short, parts, percent), prefixes, documents, n, percent)
+    named = owned.join(long.select("token"), "token", "left_semi")
     several = named.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
     full = stage(named.join(several.select("token"), "token", "left_semi").join(sets, "class"))
     x, y = full.alias("x"), full.alias("y")
