@@ -284,7 +284,15 @@ predicted AS (
     CASE WHEN is_silent = 1 OR total > 0 THEN 1 ELSE 0 END AS pred
   FROM joined WHERE is_silent = 1 OR lowest <> -1
 ),
-daily_counts AS (SELECT home, run, day, {COUNTS} FROM predicted GROUP BY 1, 2, 3),
+listed AS (
+  SELECT r.home, r.run, d.day FROM (SELECT DISTINCT home, run FROM signs_full) r
+  JOIN (SELECT DISTINCT home, day FROM inf) d ON r.home = d.home
+),
+daily_counts AS (
+  SELECT l.home, l.run, l.day, {COUNTS}
+  FROM listed l LEFT JOIN predicted p ON l.home = p.home AND l.run = p.run AND l.day = p.day
+  GROUP BY 1, 2, 3
+),
 daily AS (
   SELECT home, run, day, tn, fp, fn, tp,
     {', '.join(f'{sig(RATES[m.lower()], 4)} AS "{m}"' for m in ('FPR', 'TPR', 'FNR', 'TNR'))},

@@ -267,8 +267,19 @@ def model_free_predictions(seen: DataFrame) -> DataFrame:
     )
 
 
+def with_empty_days(predictions: DataFrame, runs: DataFrame, days: DataFrame) -> DataFrame:
+    """Add a zero count for every run and day of a home, so days without rows are scored too."""
+    grid = spread(days.join(runs.select("home", "run"), "home"), "home", "day")
+    zero = F.lit(0).cast("long").alias("n")
+    nothing = grid.select("home", "run", "day", F.lit(0).alias("occupied"), F.lit(0).alias("pred"), zero)
+    return predictions.unionByName(nothing)
+
+
 def daily_metrics(predictions: DataFrame) -> DataFrame:
-    """Metrics per home, run and day from counted predictions; rates at 4 digits."""
+    """Metrics per home, run and day from counted predictions; rates at 4 digits.
+
+    A day whose counts are all zero has rates, F1 and accuracy 0.
+    """
 
     def cell(label: int, pred: int) -> Column:
         hit = (F.col("occupied") == label) & (F.col("pred") == pred)

@@ -337,11 +337,18 @@ class ModelFreeStudy:
 
     @cached_property
     def daily(self) -> DataFrame:
-        """Metrics per home, run and day."""
+        """Metrics per home, run and day; every listed day counts, also one without rows."""
         predictions = factorial.model_free_predictions(self.seen)
         if self.days is not None:
             predictions = keep_days(predictions, self.days)
-        return factorial.daily_metrics(predictions)
+        return factorial.daily_metrics(
+            factorial.with_empty_days(predictions, self.runs, self._scored_days)
+        )
+
+    @property
+    def _scored_days(self) -> DataFrame:
+        days = self.states if self.days is None else self.days
+        return days.select("home", "day").distinct()
 
     @cached_property
     def statistics(self) -> DataFrame:
@@ -350,8 +357,7 @@ class ModelFreeStudy:
 
     def errors(self) -> DataFrame:
         """Standard error of every metric per home."""
-        days = self.states.select("home", "day") if self.days is None else self.days
-        return factorial.standard_error(self.statistics, days.distinct())
+        return factorial.standard_error(self.statistics, self._scored_days)
 
     def report(self, hub_names: Sequence[str]) -> DataFrame:
         """A row per run with signs and metrics, and a standard error row per home."""

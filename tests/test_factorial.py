@@ -137,7 +137,8 @@ def test_model_free_study(spark, comparison):
     expected = brute_force_daily(rows, hubs, comparison)
     day0 = dt.date(2024, 1, 1)
     got = {(r.run, (r.day - day0).days): [r.tn, r.fp, r.fn, r.tp] for r in daily.itertuples()}
-    assert got == expected
+    every = {(run, d): [0, 0, 0, 0] for run in range(1, 9) for d in range(3)}
+    assert got == {**every, **expected}
 
     stats = {r["run"]: r for r in study.statistics.collect()}
     for run, group in daily.groupby("run"):
@@ -151,6 +152,14 @@ def test_model_free_study(spark, comparison):
     assert study.report(hubs).count() == 9
 
 
+def test_a_day_without_complete_rows_counts_as_zero(spark):
+    table = inference_frame(spark, [("RS1", 0, 0, 1, 1, 1), ("RS1", 1, 0, -1, 1, 1)])
+    daily = experiments.model_free_study(table, "img_audio").daily.collect()
+    got = {(r["run"], r["day"].day): (r["tp"], r["Accuracy"], r["F1-Score"]) for r in daily}
+    assert len(daily) == 4
+    assert sorted(got.values()) == [(0, 0.0, 0.0), (1, 1.0, 1.0), (1, 1.0, 1.0), (1, 1.0, 1.0)]
+
+
 def test_days_can_be_restricted(spark):
     rows = [("RS1", d, s, 1, 0, 1) for d in range(4) for s in range(3)]
     table = inference_frame(spark, rows)
