@@ -316,6 +316,32 @@ errs AS (
 )"""
 
 
+def value_counts(high: str, low: str) -> str:
+    """Values of every column a run sees; the run without channels sees ``null``, always 1."""
+    return f"""WITH {model_free(high, low)},
+visible AS (
+  SELECT home, run, day, hr_min_sec, occupied, channel || '_' || substr(hub, 3) AS "column", v
+  FROM chosen WHERE v IS NOT NULL
+  UNION ALL
+  SELECT c.home, c.run, day, hr_min_sec, occupied, 'null', 1
+  FROM chosen c JOIN silent s ON c.home = s.home AND c.run = s.run WHERE c.hub_no = 1
+),
+flagged AS (
+  SELECT home, run, "column", v,
+    min(v) OVER (PARTITION BY home, run, day, hr_min_sec, occupied) <> -1 AS kept
+  FROM visible
+),
+staged AS (
+  SELECT *, 'before' AS stage, TRUE AS counted FROM flagged
+  UNION ALL SELECT *, 'after', kept FROM flagged
+)
+SELECT home, run, "column", stage, count(*) FILTER (WHERE counted AND v = -1) AS n_missing,
+  count(*) FILTER (WHERE counted AND v = 0) AS n_0,
+  count(*) FILTER (WHERE counted AND v = 1) AS n_1,
+  count(*) FILTER (WHERE counted) AS total
+FROM staged GROUP BY 1, 2, 3, 4"""
+
+
 def run_series(high: str, low: str, design: str = "signs_half") -> str:
     """Fused series of every run, built the plain way: pick channels, union, MAX."""
     used = [c for c in (high, low) if c != "None"]
@@ -590,21 +616,8 @@ FROM named n JOIN stats s ON n.home = s.home AND n.run = s.run
 UNION ALL
 SELECT home, 'SE', {', '.join('NULL' for _ in HUBS)}, NULL,
   {', '.join(f'round("{m}", 9)' for m in DAILY)} FROM errs""",
-    "sentinel_value_counts": f"""WITH {model_free('img', 'audio')},
-flagged AS (
-  SELECT c.home, c.run, channel || '_' || substr(hub, 3, 1) AS "column", v,
-    min(v) OVER (PARTITION BY c.home, c.run, day, hr_min_sec, occupied) <> -1 AS kept
-  FROM chosen c
-),
-staged AS (
-  SELECT *, 'before' AS stage, TRUE AS counted FROM flagged
-  UNION ALL SELECT *, 'after', kept FROM flagged
-)
-SELECT home, run, "column", stage, count(*) FILTER (WHERE counted AND v = -1) AS n_missing,
-  count(*) FILTER (WHERE counted AND v = 0) AS n_0,
-  count(*) FILTER (WHERE counted AND v = 1) AS n_1,
-  count(*) FILTER (WHERE counted) AS total
-FROM staged GROUP BY 1, 2, 3, 4""",
+    "sentinel_value_counts": value_counts("img", "audio"),
+    "silent_value_counts": value_counts("audio", "None"),
     "look_ahead": f"""WITH {INFERENCES},
 timed AS (
   SELECT home, hub, day, substr(hr_min_sec, 1, 2)::INT AS sample_no, audio, img, occupied,

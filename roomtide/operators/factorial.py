@@ -194,7 +194,8 @@ def runs_on_states(
     """Every state under every run of its home.
 
     Adds ``picked``, the (column, value) pairs the run sees, ``is_null_run`` and
-    ``complete`` (no -1 among them).  Runs meet states on home and day.
+    ``complete`` (no -1 among them).  A run without channels sees one column, ``null``,
+    that is always 1.  Runs meet states on home and day.
     """
     high, low = designs.split_comparison(comparison)
     names = hubs.groupBy("home").agg(F.array_sort(F.collect_set("hub")).alias("hubs"))
@@ -213,7 +214,9 @@ def runs_on_states(
         "named_struct('column', concat(channels[e.hub], '_', substr(e.hub, 3)), 'value', "
         "CASE channels[e.hub] WHEN 'img' THEN e.img WHEN 'audio' THEN e.audio END)"
     )
-    picked = f"filter(transform(state, e -> {pick}), p -> p.value IS NOT NULL)"
+    alone = "array(named_struct('column', 'null', 'value', 1))"
+    seen = f"filter(transform(state, e -> {pick}), p -> p.value IS NOT NULL)"
+    picked = f"CASE WHEN {silent} THEN {alone} ELSE {seen} END"
     visible = "CASE WHEN is_null_run THEN exists(state, e -> e.hub = hubs[0]) " \
               "ELSE size(picked) > 0 END"
     return (

@@ -425,6 +425,11 @@ def sentinel_value_counts(spark: SparkSession, folder: str) -> DataFrame:
     return _model_free(spark, folder).sentinels()
 
 
+def silent_value_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Value counts of a comparison whose run without channels sees the column ``null``."""
+    return _model_free(spark, folder, "audio_None").sentinels()
+
+
 def ffa_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_model_free(spark, folder).report(HUBS), factorial.DAILY_METRICS)
 
@@ -616,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "ffa_run_stats": ffa_run_stats,
     "ffa_standard_error": ffa_standard_error,
     "sentinel_value_counts": sentinel_value_counts,
+    "silent_value_counts": silent_value_counts,
     "ffa_report": ffa_report,
     "look_ahead": look_ahead,
     "ffa_features": ffa_features,
