@@ -237,8 +237,12 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = 700, charact
     known = documents.where(F.length("text") <= characters).where(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
     joined = known.select("doc_id", "text").join(marked, "doc_id").select(
         "toxic", F.xxhash64("doc_id").alias("_h"), "text").where(F.col("toxic").isin(0, 1))
-    order = Window.partitionBy("toxic").orderBy("_h", "text")
-    sample = joined.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_class).collect()
+    # First within 64 parts of each label, so the last ranking sees a bounded number of rows.
+    part = F.pmod(F.xxhash64("_h"), F.lit(64))
+    for keys in (["toxic", part], ["toxic"]):
+        order = Window.partitionBy(*keys).orderBy("_h", "text")
+        joined = joined.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_class)
+    sample = joined.collect()
     sample.sort(key=lambda r: (r._h, r.toxic, r.text))
     if len({r.toxic for r in sample}) < 2:
         return None
