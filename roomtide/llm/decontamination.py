@@ -1,6 +1,7 @@
 """Find benchmark items inside documents: size-partitioned MinHash containment search.
 
-A text's set is its distinct five-word shingles.  An item is found in a document that holds at
+A text's set is its distinct five-word shingles, in lower case (of any script, not only A-Z), so a
+passage is found in upper-cased copies too.  An item is found in a document that holds at
 least 80 % of the item's shingles, wherever they stand.
 
 Items are partitioned by the size of their sets.  A partition has one signature length, which
@@ -63,7 +64,7 @@ def item_shingles(benchmark: DataFrame, words: int = WORDS, contained: float = C
                 [dict(zip(names, row)) for row in rows], schema=kind)
 
     key = benchmark.select("item_id", F.col("text").cast("string").alias("text")).withColumn(
-        "item", F.xxhash64("item_id", "text"))
+        "item", F.xxhash64("item_id", "text")).withColumn("text", F.lower("text"))
     names = ["item", "item_id", "n", "size", "part", "hash", "shingle", "signature"]
     id_type = benchmark.schema["item_id"].dataType.simpleString()
     kind = pa.schema([("item", pa.int64()), ("item_id", _arrow(benchmark, "item_id")), ("n", pa.int32()),
@@ -125,7 +126,7 @@ def hits(documents: DataFrame, items: DataFrame) -> DataFrame:
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
     source = documents.select("doc_id", F.col("text").cast("string").alias("text")).withColumn(
-        "print", F.xxhash64("text"))
+        "print", F.xxhash64("text")).withColumn("text", F.lower("text"))
     return source.mapInArrow(run, f"doc_id {id_type}, print long, n int, hash long, shingle string")
 
 

@@ -283,6 +283,15 @@ def test_containment_equals_brute_force(spark, documents, nothing):
     assert decontamination.clean(documents, benchmark.limit(0)).count() == len(rows())
 
 
+def test_contamination_in_upper_cased_copies_of_any_script(spark):
+    texts = ["el niño pequeño comió una manzana después", "мальчик съел яблоко после обеда дома", "çà et là où l'été était"]
+    data = [(i, f"before {t.upper()} after") for i, t in enumerate(texts)] + [(9, "el nino pequeno comio una manzana despues")]
+    benchmark = spark.createDataFrame([*enumerate(texts), (7, texts[0].upper())], "item_id long, text string")
+    found = decontamination.contaminated(table(spark, data), benchmark).collect()
+    assert {(r.doc_id, r.item_id, r.containment) for r in found} == {(0, 0, 1), (1, 1, 1), (2, 2, 1), (0, 7, 1)}
+    assert [r.doc_id for r in decontamination.clean(table(spark, data), benchmark).collect()] == [9]
+
+
 # 6 toxicity
 
 def test_network_learns_marks_and_stems(spark):
