@@ -1,7 +1,7 @@
 """Surrogates for personal data, in DataFrame expressions only.
 
 Detected entities are e-mail addresses, telephone, card and social security numbers, IPv4
-addresses, secrets after password/token-like keys, and titled personal names.  Each is replaced by a
+addresses, secrets after password/token-like keys (in any letter case), and titled personal names.  Each is replaced by a
 keyed, type-consistent stand-in: digits by digits and letters by letters of the same case, the
 mention's own punctuation and spacing, valid octets, a valid Luhn digit where the original had one,
 names of the title's gender and of the same script.
@@ -35,7 +35,7 @@ _NAME = r"\p{Lu}[\p{L}'-]+"
 #: Type -> pattern; the first that matches a mention names its type.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
-    "secret": r"(?<=[=:\"']|[=:] )(?<=(?:password|passwd|secret|token|api_key)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9+/_-]{6,}",
+    "secret": r"(?<=[=:\"']|[=:] )(?<=(?i:password|passwd|secret|token|api_key)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9+/_-]{6,}",
     "ip": rf"(?=\d)(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "card": r"(?=\d)(?<![\w+.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?!\w|[.-]\d)",
     "ssn": r"(?=\d)(?<![\w.-])\d{3}-\d{2}-\d{4}(?!\w|[.-]\d)",
@@ -44,9 +44,9 @@ PATTERNS = {
     "name": rf"(?=[MHFSГ])(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Every mention holds one of these, or digits in a row; texts without any are not searched further.
-_HINTS = ("@", "Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Господин", "Госпожа",
-          "passw", "secret", "token", "api_key")
+#: Every mention holds one of these, follows a key, or holds digits in a row; texts without any are not searched further.
+_HINTS = ("@", "Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Господин", "Госпожа")
+_KEYS = r"(?i:passw|secret|token|api_key)"
 _DIGITS = r"\d\d\d|\d\.\d"
 _ENDS = {("male", "latin"): ("on", "er", "ik", "o"), ("female", "latin"): ("a", "ina", "elle", "ia"),
          ("male", "cyrillic"): ("ан", "ор", "ил", "ей"), ("female", "cyrillic"): ("а", "ина", "ия", "ена")}
@@ -186,7 +186,7 @@ def _replacements(found: Column, attempts: Column | None, key: str) -> Column:
 def _split(documents: DataFrame) -> DataFrame:
     """Add _mentions, and _gaps around them; texts without a hint are not searched further."""
     text = F.col("text").cast("string")
-    hinted = reduce(lambda a, b: a | b, [text.contains(h) for h in _HINTS], text.rlike(_DIGITS))
+    hinted = reduce(lambda a, b: a | b, [text.contains(h) for h in _HINTS], text.rlike(f"{_DIGITS}|{_KEYS}"))
     return documents.withColumn("_mentions", F.when(hinted, F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).otherwise(
         F.array().cast("array<string>")))
 

@@ -111,6 +111,16 @@ def test_surrogates_keep_type_format_and_coreference(spark):
     assert names[0] == names[1] != "Иванов" and re.fullmatch("[а-яА-Я]+", names[0])
 
 
+def test_secrets_after_keys_in_any_case(spark):
+    secrets = {1: 'TOKEN = "9233ABFFECDE"', 2: "PASSWORD=hunterTwo", 3: "see Secret: qwertyZ", 4: "API_KEY='abcDEFgh'", 5: "Passwd = xyzxyzxyz",
+               6: "token=abcDEFgh"}
+    out = {r.doc_id: r for r in surrogates.replaced(table(spark, [*secrets.items(), (9, "TOKENS = abcdefgh")])).collect()}
+    for i, text in secrets.items():
+        key, value = re.fullmatch(r"(.*[=:] ?[\"']?)(\w+)([\"']?)", text).group(1, 2)
+        assert out[i].text.startswith(key) and value not in out[i].text and out[i].n_entities == 1 and len(out[i].text) == len(text)
+    assert out[4].text[9:-1] == out[6].text[6:] and out[9].n_entities == 0
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     data = [(i, f"call 200-200-{i:04d} or 10.0.0.{i % 256}") for i in range(600)]
     data += [(9000 + i, f"x{i}.y@a.bc") for i in range(30)] + [
