@@ -32,6 +32,9 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _MALE = "Mr|Herr|Señor|Monsieur|Господин"
 _FEMALE = "Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Госпожа"
 _NAME = r"\p{Lu}[\p{L}'-]+"
+#: Country code and up to four groups of two digits or more.  Other international numbers have 7 to 15
+#: digits in groups of any size; where more digits follow, what ends a group within 15 is taken.
+_GROUPS = r"\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}"
 #: Type -> pattern; the first that matches a mention names its type.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
@@ -39,15 +42,15 @@ PATTERNS = {
     "ip": rf"(?=\d)(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "card": r"(?=\d)(?<![\w+.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?!\w|[.-]\d)",
     "ssn": r"(?=\d)(?<![\w.-])\d{3}-\d{2}-\d{4}(?!\w|[.-]\d)",
-    "phone": r"(?=[\d(+])(?<![\w+.-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]?\d{4}"
-             r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4})(?!\w|[.-]\d)",
+    "phone": r"(?=[\d(+])(?<![\w+.-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3}[ .-]?|\d{3}[.-]\d{3}[ .-]?|\d{3} \d{3}[ .-])\d{4}"
+             rf"|{_GROUPS}(?![ .-]?\d)|\+\d(?:[ .-]?\d){{6,14}}|{_GROUPS})(?!\w|[.-]\d)",
     "name": rf"(?=[MHFSГ])(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Every mention holds one of these, follows a key, or holds digits in a row; texts without any are not searched further.
+#: Every mention holds one of these, follows a key, or holds digits in a row or after a plus; texts without any are not searched further.
 _HINTS = ("@", "Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Господин", "Госпожа")
 _KEYS = r"(?i:passw|secret|token|api_key)"
-_DIGITS = r"\d\d\d|\d\.\d"
+_DIGITS = r"\d\d\d|\d\.\d|\+\d"
 _ENDS = {("male", "latin"): ("on", "er", "ik", "o"), ("female", "latin"): ("a", "ina", "elle", "ia"),
          ("male", "cyrillic"): ("ан", "ор", "ил", "ей"), ("female", "cyrillic"): ("а", "ина", "ия", "ена")}
 _SYLLABLES = {"latin": [c + v for c in "bdfgklmnprstv" for v in "aeiou"],
@@ -183,11 +186,15 @@ def _replacements(found: Column, attempts: Column | None, key: str) -> Column:
     return F.transform(made, formatted)
 
 
+def _hinted(text: Column) -> Column:
+    """Whether a text may hold a mention; true for every text that does."""
+    return reduce(lambda a, b: a | b, [text.contains(h) for h in _HINTS], text.rlike(f"{_DIGITS}|{_KEYS}"))
+
+
 def _split(documents: DataFrame) -> DataFrame:
     """Add _mentions, and _gaps around them; texts without a hint are not searched further."""
     text = F.col("text").cast("string")
-    hinted = reduce(lambda a, b: a | b, [text.contains(h) for h in _HINTS], text.rlike(f"{_DIGITS}|{_KEYS}"))
-    return documents.withColumn("_mentions", F.when(hinted, F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).otherwise(
+    return documents.withColumn("_mentions", F.when(_hinted(text), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).otherwise(
         F.array().cast("array<string>")))
 
 

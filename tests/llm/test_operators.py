@@ -121,6 +121,25 @@ def test_secrets_after_keys_in_any_case(spark):
     assert out[4].text[9:-1] == out[6].text[6:] and out[9].n_entities == 0
 
 
+def test_telephone_numbers_in_groups_of_any_size(spark):
+    phones = ["+45 12 34 56 78", "+47 22-33-44-55", "+33 1 23 45 67 89", "555 123 4567", "+49 30 12 34 56 78", "+4512345678", "+12 34 56",
+              "+1 555 123 4567", "(456) 555-2186", "456-555.2186", "+1 456-555-2186", "+123 1234 1234 1234 1234"]
+    mixed = ["a@b.cd", "TOKEN=abcdef", "10.0.0.1", "1.2.3.4", "4111 1111 1111 1111", "123-45-6789", "Mme Curie", "Señora Paz", "Miss Poe"]
+    no = ["+1 2 3 4", "1 + 2", "12 34 56 78", "a+45 12 34 56 78", "100 200", "5555 123 4567", "+1 2 3 4 5 6x", "555 1234567"]
+    data = [*enumerate(phones), *enumerate([f"in 2024, {p}." for p in phones], 100), *enumerate(mixed, 200), *enumerate(no, 300)]
+    frame = table(spark, data)
+    out = {r.doc_id: r for r in surrogates.replaced(frame).collect()}
+    for i, phone in enumerate(phones):
+        assert out[i].n_entities == out[100 + i].n_entities == 1
+        assert out[100 + i].text == f"in 2024, {out[i].text}." and out[i].text != phone
+        assert re.sub(r"\d", "9", out[i].text) == re.sub(r"\d", "9", phone) and out[i].text[-2:] != phone[-2:]
+    assert out[0].text.replace(" ", "") == out[5].text
+    assert all(out[300 + i].text == t and not out[300 + i].n_entities for i, t in enumerate(no))
+    # Every text with a mention passes the prefilter.
+    missed = frame.where(F.size(F.regexp_extract_all("text", F.lit(surrogates._ANY), F.lit(0))) > 0).where(~surrogates._hinted(F.col("text")))
+    assert missed.count() == 0 and all(out[200 + i].n_entities for i in range(len(mixed)))
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     data = [(i, f"call 200-200-{i:04d} or 10.0.0.{i % 256}") for i in range(600)]
     data += [(9000 + i, f"x{i}.y@a.bc") for i in range(30)] + [
