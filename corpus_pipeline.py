@@ -1,7 +1,8 @@
 """The training-data pipeline: five stages over ``documents``, each one an operator of roomtide.llm.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last
-return the columns of ``documents``.  Rows are told apart by doc_id.
+return the columns of ``documents``.  Rows are told apart by doc_id,
+in the n-gram Jaccard join by all columns.
 
 Defined results: documents without text are kept by every filter (nothing speaks against them) and
 have no tokens; an empty table gives an empty result; columns beyond those of ``documents`` pass
@@ -25,7 +26,7 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group linked by five-word Jaccard similarity 0.8, keep the smallest doc_id."""
+    """Of every group linked by five-word Jaccard similarity 0.8, keep one row, of the smallest doc_id."""
     return jaccard.deduplicated(docs, n=5, percent=80)
 
 

@@ -62,12 +62,12 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int):
             yield batch, row, shingle_set(found.hashes[found.first[row]:found.first[row + 1]], n)
 
 
-def _texts(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", F.col("text").cast("string").alias("text"))
+def _texts(documents: DataFrame, *others: str) -> DataFrame:
+    return documents.select("doc_id", F.col("text").cast("string").alias("text"), *others)
 
 
-def classes(documents: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, class of every row (class null for empty sets)."""
+def classes(documents: DataFrame, n: int, others: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, class of every row (class null for empty sets), and its long columns ``others``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch, sizes, names = None, [], []
         for now, _, values in _sets(batches, n):
@@ -82,11 +82,12 @@ def classes(documents: DataFrame, n: int) -> DataFrame:
 
     def made(batch: pa.RecordBatch, sizes: list, names: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
-            ["doc_id", "n_shingles", "class"])
+            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), *map(batch.column, others)],
+            ["doc_id", "n_shingles", "class", *others])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return _texts(documents).mapInArrow(run, f"doc_id {kind}, n_shingles long, class long")
+    return _texts(documents, *others).mapInArrow(
+        run, ", ".join([f"doc_id {kind}, n_shingles long, class long", *(f"{c} long" for c in others)]))
 
 
 def _ranged(documents: DataFrame, n: int, ranges: int) -> DataFrame:
@@ -393,12 +394,17 @@ def links(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFr
     return found.unionByName(stars).unionByName(rest)
 
 
+def _rooted(documents: DataFrame, n: int, percent: int, others: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, class, root (null for empty sets) of every row, and ``others``."""
+    rows = stage(classes(documents, n, others))
+    roots = components(links(documents, rows, n, percent))
+    return rows.join(roots, rows["class"] == roots["node"], "left").select(
+        "doc_id", "n_shingles", "class", F.coalesce("root", "class").alias("root"), *others)
+
+
 def groups(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, class, component_id of every row."""
-    rows = stage(classes(documents, n))
-    roots = components(links(documents, rows, n, percent))
-    rooted = rows.join(roots, rows["class"] == roots["node"], "left").select(
-        "doc_id", "n_shingles", "class", F.coalesce("root", "class").alias("root"))
+    rooted = _rooted(documents, n, percent)
     least = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
     # A row per component on one side, and components may be large: the join can be split.
     return rooted.join(least, "root", "left").select(
@@ -407,12 +413,27 @@ def groups(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 
 def deduplicated(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group stays: the one with the smallest id; columns unchanged.
+    """One row of each group stays: the one with the smallest id; columns unchanged.
 
-    Documents with an empty set all stay.  Rows that share the smallest id stay together only if
-    they are of different groups.
+    Rows with an empty set all stay.  A null id comes after all others.  Among a group's rows that
+    share the smallest id, the least hash of all columns decides; of rows equal in every column one
+    stays.
     """
-    keep = groups(documents, n, percent).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0))
-    slim = keep.select(F.col("doc_id").alias("_id")).distinct()
-    return documents.join(slim, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # Map columns have no hash; rows that differ in them alone count as equal.  Hashes skip nulls, so these are marked.
+    hashed = [F.col(f"`{f.name}`") for f in documents.schema.fields if "map<" not in f.dataType.simpleString()]
+    printed = documents.withColumn("_print", F.xxhash64(*hashed, *[c.isNull() for c in hashed]))
+    rooted = stage(_rooted(printed, n, percent, ("_print",)))
+    full = rooted.where(F.col("root").isNotNull()).groupBy("root", "doc_id", "_print").agg(F.count("*").alias("copies"))
+    first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_print", "copies")).alias("f"))
+    empty = rooted.where("n_shingles = 0").select("doc_id", "_print", F.lit(1).cast("long").alias("copies")).distinct()
+    keys = stage(first.select("f.doc_id", "f._print", "f.copies").unionByName(empty).select(
+        F.col("doc_id").alias("_id"), F.col("_print").alias("_key"), "copies"))
+
+    def held(wanted: DataFrame) -> DataFrame:
+        return printed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_key")), "left_semi")
+
+    out = held(keys.where("copies = 1"))
+    repeated = keys.where("copies > 1")
+    if not repeated.isEmpty():
+        out = out.unionByName(held(repeated).dropDuplicates(["doc_id", "_print"]))
+    return out.drop("_print")

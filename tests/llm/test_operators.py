@@ -456,6 +456,23 @@ def test_jaccard_of_empty_table_and_deduplication(documents, nothing):
     assert {r.doc_id for r in kept.collect()} == want and kept.columns == documents.columns
 
 
+def test_deduplication_keeps_one_row_of_each_group(spark, documents):
+    own = {c: " ".join(f"{c}{i}" for i in range(30)) for c in "abcdef"}
+    near = own["d"] + " end"
+    data = [(1, own["a"]), (1, own["a"]), (1, own["b"]), (0, own["b"]), (1, own["c"]), (1, own["c"] + " "), (2, own["a"]),
+            (None, own["d"]), (None, own["d"]), (None, near), (None, own["e"]), (7, own["e"]), (None, own["f"]),
+            (None, ""), (None, ""), (None, None), (1, " "), (3, "")]
+    out = collections.Counter((r.doc_id, (r.text or "").strip()[:2]) for r in jaccard.deduplicated(table(spark, data).repartition(3)).collect())
+    assert out == {(1, "a0"): 1, (0, "b0"): 1, (1, "c0"): 1, (None, "d0"): 1, (7, "e0"): 1, (None, "f0"): 1, (None, ""): 3, (1, ""): 1, (3, ""): 1}
+    # A third of the rows under one id, another third without any; each group leaves one row.
+    mixed = documents.withColumn("doc_id", F.when(F.crc32("text") % 3 == 0, 5).when(F.crc32("text") % 3 == 1, None).otherwise(F.col("doc_id")))
+    found = jaccard.groups(documents)
+    blank = sum(not tokens(t) for _, t in rows())
+    groups_ = len({r.root for r in jaccard._rooted(documents, 5, 80).collect() if r.root is not None})
+    assert jaccard.deduplicated(mixed).count() == groups_ + blank == jaccard.deduplicated(documents).count()
+    assert found.count() == len(rows()) > groups_ + blank
+
+
 def test_components_of_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     out = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
