@@ -50,11 +50,11 @@ def split_sweep(source):
 
 
 def cross_validated(source):
-    return experiments.cross_home(source, HOMES, FIVE, TrainConfig(cv=True, n_candidates=10))[0]
+    return experiments.cross_home(source, HOMES, FIVE, TrainConfig(cv=True))[0]
 
 
 def factorial(source):
-    return experiments.factorial_experiment(source, "audio_None", 5, FIVE, "half").metrics
+    return experiments.factorial_experiment(source, "audio_None", 5, FIVE).metrics
 
 
 HEADLINES = {

@@ -376,7 +376,7 @@ series AS (
 )"""
 
 
-RUN_METRICS = f"""{run_series('img', 'audio')},
+RUN_RATES = f"""
 run_counts AS (
   SELECT home, run, {COUNTS} FROM (SELECT *, ({OR_AI} > 0.5)::INT AS pred FROM series) GROUP BY 1, 2
 ),
@@ -386,6 +386,8 @@ pairs AS (
   SELECT a.home, a.run, a.hub || 'x' || b.hub AS factor, a.sign * b.sign AS sign
   FROM signs_all a JOIN signs_all b ON a.home = b.home AND a.run = b.run AND a.hub < b.hub
 )"""
+RUN_METRICS = f"{run_series('img', 'audio')},{RUN_RATES}"
+FULL_RUN_METRICS = f"{run_series('img', 'audio', 'signs_full')},{RUN_RATES}"
 
 
 def effect_columns() -> str:
@@ -636,6 +638,17 @@ FROM run_metrics WHERE run = 0 GROUP BY 1
 UNION ALL
 SELECT home, 'avg', {', '.join(f'round(avg("{m}"), 9)' for m in METRICS)}
 FROM run_metrics WHERE run <> 0 GROUP BY 1
+UNION ALL {effect_query('singles')} UNION ALL {effect_query('pairs')}""",
+    "ffa_features_full": f"""WITH {run_series('audio', 'None', 'signs_full')}
+SELECT home, run, ts, {each('round({}, 9) AS {}')}, occupied FROM series""",
+    "main_effects_full": f"WITH {FULL_RUN_METRICS} {effect_query('singles')}",
+    "interaction_effects_full": f"WITH {FULL_RUN_METRICS} {effect_query('pairs', 'm.run <> 0')}",
+    "effects_table_full": f"""WITH {FULL_RUN_METRICS}
+SELECT home, 'BL' AS factor, {', '.join(r9(f'max("{m}")::DOUBLE', m) for m in METRICS)}
+FROM run_metrics WHERE run = 0 GROUP BY 1
+UNION ALL
+SELECT home, 'avg', {', '.join(f'round(avg("{m}"), 9)' for m in METRICS)}
+FROM run_metrics WHERE run <> 0 GROUP BY 1
 UNION ALL {effect_query('singles')} UNION ALL {effect_query('pairs')}""",
     "coeff_summary": f"""WITH {LOOKUP},{channel_means('train')},
 {summary('coefs', 'summary', "train_home <> 'H4'")}

@@ -442,37 +442,49 @@ def look_ahead(spark: SparkSession, folder: str) -> DataFrame:
     return factorial.look_ahead(samples, ["audio", "img"], samples_per_day=24)
 
 
-def _run_metrics(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _run_metrics(spark: SparkSession, folder: str, level: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Runs, hubs and a metric table per home and run: the OR predictor on each run's series."""
     spans, runs, series = experiments.factorial_series(
-        sensor_readings(spark, folder), "img_audio", len(HUBS), HOUR, "half"
+        sensor_readings(spark, folder), "img_audio", len(HUBS), HOUR, level
     )
     scored = predictors.or_baseline(series)
     counts = metrics.confusion(scored, ["home", "run"], prediction="pred_ai")
     return runs, spans.select("home", "hub"), stage(metrics.model_metrics(counts))
 
 
-def ffa_features(spark: SparkSession, folder: str) -> DataFrame:
-    _, _, series = experiments.factorial_series(
-        sensor_readings(spark, folder), "audio_None", len(HUBS), HOUR, "half"
-    )
-    return rounded(series.drop("pos"), CHANNELS)
+def _ffa_features(level: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        _, _, series = experiments.factorial_series(
+            sensor_readings(spark, folder), "audio_None", len(HUBS), HOUR, level
+        )
+        return rounded(series.drop("pos"), CHANNELS)
+
+    return run
+
 
+def _main_effects(level: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        runs, hubs, table = _run_metrics(spark, folder, level)
+        return rounded(effects.effects(effects.factors(runs, hubs), table), EFFECT_METRICS)
 
-def main_effects(spark: SparkSession, folder: str) -> DataFrame:
-    runs, hubs, table = _run_metrics(spark, folder)
-    return rounded(effects.effects(effects.factors(runs, hubs), table), EFFECT_METRICS)
+    return run
 
 
-def interaction_effects(spark: SparkSession, folder: str) -> DataFrame:
-    runs, hubs, table = _run_metrics(spark, folder)
-    found = effects.effects(effects.factors(runs, hubs, 2), table, count_baseline=False)
-    return rounded(found, EFFECT_METRICS)
+def _interaction_effects(level: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        runs, hubs, table = _run_metrics(spark, folder, level)
+        found = effects.effects(effects.factors(runs, hubs, 2), table, count_baseline=False)
+        return rounded(found, EFFECT_METRICS)
 
+    return run
 
-def full_effects(spark: SparkSession, folder: str) -> DataFrame:
-    runs, hubs, table = _run_metrics(spark, folder)
-    return rounded(effects.effects_table(runs, hubs, table), EFFECT_METRICS)
+
+def _effects_table(level: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        runs, hubs, table = _run_metrics(spark, folder, level)
+        return rounded(effects.effects_table(runs, hubs, table), EFFECT_METRICS)
+
+    return run
 
 
 # --- coefficient reports ----------------------------------------------------------------
@@ -566,16 +578,22 @@ def split_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return experiments.split_sweep(sensor_readings(spark, folder), homes, HOUR)
 
 
-def ffa_experiment(spark: SparkSession, folder: str) -> DataFrame:
-    return experiments.factorial_experiment(
-        sensor_readings(spark, folder), "audio_None", len(HUBS), HOUR, "half"
-    ).table(HUBS)
+def _ffa_experiment(level: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return experiments.factorial_experiment(
+            sensor_readings(spark, folder), "audio_None", len(HUBS), HOUR, level
+        ).table(HUBS)
+
+    return run
+
 
+def _ffa_experiment_effects(level: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return experiments.factorial_experiment(
+            sensor_readings(spark, folder), "img_audio", len(HUBS), HOUR, level
+        ).effects()
 
-def ffa_experiment_effects(spark: SparkSession, folder: str) -> DataFrame:
-    return experiments.factorial_experiment(
-        sensor_readings(spark, folder), "img_audio", len(HUBS), HOUR, "half"
-    ).effects()
+    return run
 
 
 QUERIES: dict[str, Query] = {
@@ -624,10 +642,14 @@ QUERIES: dict[str, Query] = {
     "silent_value_counts": silent_value_counts,
     "ffa_report": ffa_report,
     "look_ahead": look_ahead,
-    "ffa_features": ffa_features,
-    "main_effects": main_effects,
-    "interaction_effects": interaction_effects,
-    "effects_table": full_effects,
+    "ffa_features": _ffa_features("half"),
+    "ffa_features_full": _ffa_features("full"),
+    "main_effects": _main_effects("half"),
+    "main_effects_full": _main_effects("full"),
+    "interaction_effects": _interaction_effects("half"),
+    "interaction_effects_full": _interaction_effects("full"),
+    "effects_table": _effects_table("half"),
+    "effects_table_full": _effects_table("full"),
     "coeff_summary": coeff_summary,
     "coeff_summary_compat": coeff_summary_compat,
     "coeff_join": coeff_join,
@@ -640,6 +662,8 @@ QUERIES: dict[str, Query] = {
     "five_predictors": five_predictors,
     "cross_home": cross_home,
     "split_sweep": split_sweep,
-    "ffa_experiment": ffa_experiment,
-    "ffa_experiment_effects": ffa_experiment_effects,
+    "ffa_experiment": _ffa_experiment("full"),
+    "ffa_experiment_half": _ffa_experiment("half"),
+    "ffa_experiment_effects": _ffa_experiment_effects("full"),
+    "ffa_experiment_effects_half": _ffa_experiment_effects("half"),
 }

@@ -73,3 +73,11 @@ def test_sweep_keeps_test_rows_without_known_lags(spark):
                 for name, df in (("sweep", sweep), ("counted", counted))}
     assert cells_of["sweep"] == {k: cells_of["counted"][k] for k in cells_of["sweep"]}
     assert len(cells_of["sweep"]) == 70
+
+
+@pytest.mark.parametrize(("name", "design"), [
+    ("ffa_experiment", "design_full"), ("ffa_experiment_half", "design_half"), ("ffa_features_full", "design_full")])
+def test_factorial_queries_run_their_whole_design(spark, name, design):
+    runs = [{(r.home, r.run) for r in driver.queries()[q](spark, FOLDER).select("home", "run").distinct().collect() if r.run}
+            for q in (name, design)]
+    assert runs[0] == runs[1] and len({home for home, _ in runs[0]}) > 1
