@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, hmm, hnsw, jaccard, language, sharding, surrogates, tokenfiles, toxicity
+from roomtide.llm import (bpe, codes, decontamination, hmm, hnsw, jaccard, language, mixing, periods, sharding, surrogates,
+                          tokenfiles, toxicity)
+from roomtide.llm.oracles import ORACLES  # noqa: F401
 
 #: Folder of public vocabulary files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -77,6 +79,37 @@ def op10_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op11_trie_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", codes.code(F.col("entries")).alias("code"), "error", "label_error",
+                        F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def planted(doc_id: Column, text: Column) -> Column:
+    """The text; where the contract's hash of the id asks for it, its tail repeats its first words."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g, n = F.floor(h / 10).cast("long"), F.size(F.regexp_extract_all(text, F.lit(periods.WORD), F.lit(0)))
+    start = F.pmod(g, n).cast("int")
+    period = (1 + F.floor((n - start) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+    return F.when((h % 10 == 0) & (n > 0), periods.repeated(text, start, period)).otherwise(text)
+
+
+def op12_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    found = periods.runs(documents.withColumn("text", planted(F.col("doc_id"), F.col("text"))))
+    best = found.withColumn("best", periods.greatest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.call_function("div", F.col("best.length") * 1000, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periods.listing(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"), "n_words")
+
+
+def op13_pareto_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.plan(table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
     "op2_feistel_shards": op2_feistel_shards,
@@ -88,7 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multi_order_jaccard": op8_multi_order_jaccard,
     "op9_string_kernel_language": op9_string_kernel_language,
     "op10_small_world_neighbours": op10_small_world_neighbours,
+    "op11_trie_codes": op11_trie_codes,
+    "op12_recompression_runs": op12_recompression_runs,
+    "op13_pareto_mixture": op13_pareto_mixture,
 }
-
-#: The keyed hashes, models and automata of these operators have no SQL; tests hold them against brute force.
-ORACLES: dict[str, str] = {}
