@@ -16,7 +16,9 @@ the literal special tokens inside a text become their ids, as in the tokenizers
 
 from __future__ import annotations
 
+import hashlib
 import json
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,6 +32,38 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "\n"
 # Fixed value: white space as the library's regular expressions understand it.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Letters and numbers that Unicode 17.0 adds.  The pattern's package knows them, the
+# library (16.0) takes them for symbols.
+UNKNOWN = """
+558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF
+10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686
+16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191
+191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE
+1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479
+3D000-3FC3F
+"""
+# Capitals that Unicode 16.0 and 17.0 add, by their small letters; the library lowers them.
+LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+         0xA7DA: 0xA7DB, 0xA7DC: 0x19B, **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+         **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+
+
+def ranges(listed: str) -> list[tuple[str, str]]:
+    """First and last code point of every range of a list in hexadecimal."""
+    return [(r.partition("-")[0], r.rpartition("-")[2]) for r in listed.split()]
+
+
+def word_pattern(full: bool) -> str:
+    """WORD_PATTERN as the library reads it; not ``full``: for texts below the first unknown letter."""
+    pattern = WORD_PATTERN.replace(r"[^\s", "[^" + BLANK)
+    if not full:
+        return pattern
+    unknown = "".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}" for a, b in ranges(UNKNOWN))
+    for kind in ("L", "N"):
+        pattern = pattern.replace(rf"|[\p{{{kind}}}]", rf"|[\p{{{kind}}}--[{unknown}]]").replace(
+            rf"|\p{{{kind}}}", rf"|[\p{{{kind}}}--[{unknown}]]")
+    head, _, symbols = pattern.rpartition("|")
+    return f"(?V1){head}|[{symbols[:-1]}||[{unknown}]]+"
 
 
 def byte_symbols() -> list[str]:
@@ -153,28 +187,38 @@ class Tokenizer:
         vocabulary = {w: i for w, i in model["vocab"].items() if w not in added}
         self.automaton = Automaton(vocabulary, merges, suffix)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self._encoder: Encoder | None = None
         self.automaton.label |= {str(i): t for t, i in self.special.items()}
 
+    def parts(self) -> dict:
+        """Plain attributes, as tasks receive them."""
+        return vars(self) | {"automaton": vars(self.automaton)}
 
-    def encoder(self) -> Encoder:
+    @staticmethod
+    def encoder(parts: dict) -> Encoder:
         """The process's encoder: its words outlive a task where Spark reuses the worker."""
-        if self._encoder is None:
-            self._encoder = Encoder(self)
-        return self._encoder
+        if "encoder" not in parts:
+            automaton, tokenizer = Automaton.__new__(Automaton), Tokenizer.__new__(Tokenizer)
+            vars(automaton).update(parts["automaton"])
+            vars(tokenizer).update(parts, automaton=automaton)
+            parts["encoder"] = Encoder(tokenizer)
+        return parts["encoder"]
 
 
 class Encoder(dict):
-    """word -> its ids as decimal text; words are run once, then looked up, ``most`` at a time."""
+    """word -> its ids as decimal text; words of up to ``longest`` characters are run once, then
+    looked up, ``most`` at a time."""
 
     most = 500_000
+    longest = 64
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         super().__init__()
         self.tokenizer = tokenizer
         self.symbols = byte_symbols()
         self.texts = {w: str(i) for w, i in tokenizer.automaton.ids.items()}
-        self.words = regex.compile(WORD_PATTERN.replace(r"[^\s", "[^" + BLANK)).findall
+        self.words = regex.compile(word_pattern(False)).findall
+        self.all_words = regex.compile(word_pattern(True)).findall
+        self.first_unknown = chr(int(ranges(UNKNOWN)[0][0], 16))
         self.specials = regex.compile("(" + "|".join(map(regex.escape, tokenizer.special)) + ")").split
 
     def __missing__(self, word: str) -> str:
@@ -185,6 +229,8 @@ class Encoder(dict):
         out = " ".join([self.texts[t] for t in automaton.path(word_text + self.tokenizer.suffix)])
         if len(self) >= self.most:
             self.clear()
+        if len(word) > self.longest:
+            return out
         if len(automaton.known) > 4 * self.most:
             automaton.known.clear()
         self[word] = out
@@ -192,16 +238,19 @@ class Encoder(dict):
 
     def encode(self, text: str) -> str:
         """Ids in decimal, joined by one space."""
-        import unicodedata
-
         pieces = []
         for part in self.specials(text) if "<|" in text else (text,):
             if part in self.tokenizer.special:
                 pieces.append(str(self.tokenizer.special[part]))
-            elif part:
-                if not part.isascii():
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            elif part.isascii():
                 pieces += map(self.__getitem__, self.words(part.lower()))
+            else:
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+                part = part.lower()
+                words = self.words
+                if max(part) >= self.first_unknown:
+                    part, words = part.translate(LOWER), self.all_words
+                pieces += map(self.__getitem__, words(part))
         return " ".join(pieces)
 
     def decode(self, ids: str) -> str:
@@ -215,15 +264,13 @@ def encode(documents: DataFrame, path: str, texts: bool = False) -> DataFrame:
 
     The compiled automaton depends on the vocabulary file alone and is broadcast (a few MB).
     """
-    shared = documents.sparkSession.sparkContext.broadcast(Tokenizer(path))
+    shared = documents.sparkSession.sparkContext.broadcast(Tokenizer(path).parts())
     kept = [c for c in documents.columns
             if c not in ("text", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")]
     kinds = [f for f in documents.schema.fields if f.name in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        encoder = shared.value.encoder()
+        encoder = Tokenizer.encoder(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
