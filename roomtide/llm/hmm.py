@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.llm.jaccard import _runs
+from roomtide.llm.words import Hasher, mixed, slices, words_of
 from roomtide.runtime import stage
 
 STATES = 6
@@ -51,8 +53,6 @@ class Classes:
 
     def of(self, found) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes, their classes, whether they are rare, and each word's place among them."""
-        from roomtide.llm.words import mixed
-
         distinct, first, place = np.unique(found.hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.common, distinct)
         usual = np.zeros(len(distinct), bool)
@@ -68,8 +68,6 @@ class Classes:
 
 
 def _read(batches: Iterator[pa.RecordBatch]):
-    from roomtide.llm.words import Hasher, slices, words_of
-
     hasher = Hasher()
     for batch in slices(batches, "text", TEXT_BYTES):
         yield batch, words_of(batch.column("text"), hasher)
@@ -151,8 +149,6 @@ def rare_counts(texts: DataFrame, classes: Classes, ranges: int) -> DataFrame:
                 ["range", "words", "classes", "rows", "counts", "keys"])
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from roomtide.llm.jaccard import _runs
-
         for _, rows in _runs(batches, "range"):
             words = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows])
             number = np.concatenate([np.frombuffer(r["classes"], np.uint16) for r in rows])
@@ -309,7 +305,7 @@ def train(coded: DataFrame, classes: Classes, rounds: int = ROUNDS, sample: int
     model = Model.started(histograms.reshape(-1, number), totals)
     size = STATES + STATES ** 2 + STATES * number
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(model)  # states x classes numbers
+        shared = spark.sparkContext.broadcast((model.start, model.move, model.emit))  # states x classes numbers
 
         def run(own: list[np.ndarray], shared=shared) -> np.ndarray:
             tokens = np.concatenate(own)
@@ -320,7 +316,7 @@ def train(coded: DataFrame, classes: Classes, rounds: int = ROUNDS, sample: int
             stop = np.minimum(start + SEGMENT, np.repeat(begin + sizes, pieces))
             out = np.zeros(size)
             for at in range(0, len(start), 4096):
-                out += shared.value.expected(tokens, start[at:at + 4096], (stop - start)[at:at + 4096])
+                out += Model(*shared.value).expected(tokens, start[at:at + 4096], (stop - start)[at:at + 4096])
             return out
 
         counts = np.concatenate([added(run), np.zeros(size)])[:size]
@@ -352,11 +348,13 @@ def score(documents: DataFrame, held_out: Column) -> DataFrame:
     usual = np.concatenate([np.log10(totals[:offset] + SMOOTH), np.zeros(RARE)])
     mass = np.concatenate([np.log10(totals[:offset] + SMOOTH), np.log10(rare_mass + SMOOTH)])
     known = np.concatenate([totals[:offset] > 0, np.zeros(RARE, bool)])
-    shared = documents.sparkSession.sparkContext.broadcast((model, usual, mass, known))  # a few numbers a class
+    shared = documents.sparkSession.sparkContext.broadcast(
+        ((model.start, model.move, model.emit), usual, mass, known))  # a few numbers a class
     kind = coded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, usual, mass, known = shared.value
+        (start, move, emit), usual, mass, known = shared.value
+        model = Model(start, move, emit)
         for batch in batches:
             for at in range(0, batch.num_rows, 4000):
                 part = batch.slice(at, 4000)

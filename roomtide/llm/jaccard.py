@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from roomtide.llm.bitmaps import bitmap, slots, unpacked
 from roomtide.llm.components import components
+from roomtide.llm.words import Hasher, mixed, shingle_set, slices, words_of
 from roomtide.runtime import stage
 
 ORDERS = 3
@@ -43,8 +44,6 @@ FLUSH_TOKENS = 4 << 20
 
 def class_of(values: np.ndarray) -> int:
     """64-bit name of a set, from two sums over its tokens and its size."""
-    from roomtide.llm.words import mixed
-
     with np.errstate(over="ignore"):
         name = mixed(np.array([values.sum(), mixed(values ^ np.uint64(0x5851F42D4C957F2D)).sum(), len(values)], np.uint64))
         name = mixed(name[:1] + np.uint64(3) * name[1:2] + np.uint64(5) * name[2:3])
@@ -53,8 +52,6 @@ def class_of(values: np.ndarray) -> int:
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int):
     """(batch, row, sorted set) of every text."""
-    from roomtide.llm.words import Hasher, shingle_set, slices, words_of
-
     hasher = Hasher()
     for batch in slices(batches, "text"):
         found = words_of(batch.column("text"), hasher)
@@ -208,8 +205,6 @@ def _prefixes(shared: DataFrame, parts: int, percent: int) -> DataFrame:
     """class, n, prefix (of the first order, array of long) and filters (of the others, 16-bit
     tokens as binary) of every class that has a shared token in its prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from roomtide.llm.words import mixed
-
         out: list[list] = [[], [], [], []]
         for name, rows in _runs(batches, "class"):
             n = rows[0]["n"]
