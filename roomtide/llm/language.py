@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.llm import samples
+
 LENGTHS = (1, 2, 3, 4)
 SLOTS = 1 << 20
 BLOCK = 2000
@@ -96,6 +98,13 @@ class Model:
         self.matrix = (marked.T @ root @ solved).astype(np.float32)
         self.bias = centre - mean @ solved
 
+    @classmethod
+    def of(cls, parts: dict) -> Model:
+        """From the attributes of a fitted model, as tasks receive them."""
+        out = cls.__new__(cls)
+        vars(out).update(parts)
+        return out
+
     def _rows(self, texts: list[str]) -> np.ndarray:
         bits = presence(texts, self.index, self.width)
         size = np.sqrt(np.maximum(bits.sum(1, keepdims=True), 1))
@@ -113,31 +122,26 @@ class Model:
 
 
 def train(rows: DataFrame, per_language: int = 400, characters: int = 20_000) -> Model:
-    """Fit on a bounded sample: ``per_language`` texts of each language by lowest hash of the id,
-    among texts of at most ``characters``, so the sample's size in memory is bounded too.
+    """Fit on a bounded sample: ``per_language`` texts of each language by lowest hash of id and
+    text, among texts of at most ``characters``, so the sample's size in memory is bounded too.
 
     ``rows``: doc_id, text, lang.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("lang").orderBy("_h", "doc_id", "_t")
-    # Spark limits groups inside each task first, so few rows of a language reach the ranking.
-    ranked = rows.where(F.col("lang").isNotNull() & (F.length("text") <= characters)).select(
-        "lang", "doc_id", F.xxhash64("doc_id").alias("_h"), F.col("text").alias("_t"))
-    kept = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_language)
-    sample = sorted(((r._h, r.lang, r._t) for r in kept.select("lang", "_h", "_t").collect()))
+    fit = rows.where(F.col("lang").isNotNull() & (F.length("text") <= characters)).select(
+        F.col("lang").alias("label"), F.xxhash64("doc_id", "text", "lang").alias("hash"), "text")
+    sample = samples.texts_of(fit, samples.lowest(fit, per_language))
     return Model([t for _, _, t in sample], [a for _, a, _ in sample])
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score of every document; the text is the only input."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(vars(model))
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        model = shared.value
+        model = Model.of(shared.value)
         letter = regex.compile(r"\p{L}").search
         for batch in batches:
             for at in range(0, batch.num_rows, 64):

@@ -8,7 +8,8 @@ its words; a text's score is that of its worst window.
 
 Learning is by multiple instances: a labelled text is its windows, and the worst ones by the
 present model, of clean and toxic texts alike, carry the label.  The network is fitted on a bounded
-sample (``per_class`` texts of each label by lowest hash of the id, of at most ``characters``).
+sample (``per_class`` distinct texts of each label by lowest hash of id and text, of at most
+``characters``); labels meet ids and hashes only, and no text is shuffled.
 
 Defined results: null and empty texts score 0; without both labels every text scores 0; several
 labels of a document count as toxic if one does; labels without a document are ignored.
@@ -20,9 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.llm import samples
 from roomtide.llm.words import Hasher, Words, mixed, slices, words_of
 
 LENGTH = 40
@@ -74,7 +76,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Network:
     """Parameters in ``p``; all arrays are float32."""
 
-    def __init__(self, seed: int = 7) -> None:
+    def __init__(self, seed: int = 7, parameters: dict[str, np.ndarray] | None = None) -> None:
+        if parameters is not None:
+            self.p = parameters
+            return
         rng = np.random.default_rng(seed)
 
         def normal(*shape: int, scale: float) -> np.ndarray:
@@ -231,34 +236,31 @@ class Network:
                     v -= (0.03 if k in usual else 1) * rate * (first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6) + 1e-4 * v).astype(np.float32)
 
 
-def train(documents: DataFrame, labels: DataFrame, per_class: int = 700, characters: int = 20_000) -> Network | None:
+def train(documents: DataFrame, labels: DataFrame, per_class: int = 1500, characters: int = 20_000) -> Network | None:
     """Network fitted on a bounded sample; None without texts of both labels."""
-    marked = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = documents.where(F.length("text") <= characters).where(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
-    joined = known.select("doc_id", "text").join(marked, "doc_id").select(
-        "toxic", F.xxhash64("doc_id").alias("_h"), "text").where(F.col("toxic").isin(0, 1))
-    # First within 64 parts of each label, so the last ranking sees a bounded number of rows.
-    part = F.pmod(F.xxhash64("_h"), F.lit(64))
-    for keys in (["toxic", part], ["toxic"]):
-        order = Window.partitionBy(*keys).orderBy("_h", "text")
-        joined = joined.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_class)
-    sample = joined.collect()
-    sample.sort(key=lambda r: (r._h, r.toxic, r.text))
-    if len({r.toxic for r in sample}) < 2:
+    marked = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(
+        F.max("toxic").cast("int").alias("label"))
+    known = documents.where(F.length("text") <= characters).where(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]"))).select(
+        F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("hash"), "text")
+    # Labels meet ids and hashes; only texts of the chosen rows are read again.
+    chosen = samples.lowest(known.select("id", "hash").join(marked, "id").where(F.col("label").isin(0, 1)), per_class)
+    sample = samples.texts_of(known, chosen)
+    if len({label for _, label, _ in sample}) < 2:
         return None
     network = Network()
-    network.fit([r.text for r in sample], [r.toxic for r in sample])
+    network.fit([text for _, _, text in sample], [label for _, label, _ in sample])
     return network
 
 
 def score(documents: DataFrame, network: Network | None) -> DataFrame:
     """All columns plus ``score`` (worst window) and ``windows`` (their number)."""
-    shared = documents.sparkSession.sparkContext.broadcast(network)  # under 1 MB
+    shared = documents.sparkSession.sparkContext.broadcast(None if network is None else network.p)  # under 1 MB
     kept = [c for c in documents.columns if c not in ("score", "windows")]
     schema = documents.select(*kept).schema.add("score", "double").add("windows", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, hasher = shared.value, Hasher()
+        network = None if shared.value is None else Network(parameters=shared.value)
+        hasher = Hasher()
         for batch in slices(batches, "text"):
             found = words_of(batch.column("text"), hasher)
             out, number = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
