@@ -95,11 +95,10 @@ def prepared(embeddings: DataFrame) -> tuple[DataFrame, int]:
     rows = embeddings.select("vec_id", "label", vector.alias("embedding")).where(_usable(F.col("embedding")))
     most = rows.agg(F.max(F.size("embedding")), F.max(F.array_max(F.transform("embedding", F.abs)))).head()
     longest, greatest = most[0] or 0, most[1] or 0.0
-    # Every sum of squared differences must fit in 63 bits.
+    # Every sum of squared differences must fit in 63 bits; then components fit in 32.
     if longest * (2 * (greatest * SCALE + 1)) ** 2 >= 2 ** 62:
         raise ValueError(f"components up to {greatest} give errors beyond 64 bits")
-    kind = "int" if greatest * SCALE < 2 ** 30 else "long"
-    whole = F.transform("embedding", lambda x: F.floor(x * SCALE).cast(kind))
+    whole = F.transform("embedding", lambda x: F.floor(x * SCALE).cast("int"))
     rows = rows.select("vec_id", "label", whole.alias("whole"))
     head = _in_order(rows).select(F.size("whole")).head()
     return rows, head[0] if head else 0
@@ -123,7 +122,7 @@ def first_books(rows: DataFrame, length: int, parts: int, entries: int) -> np.nd
     books = np.zeros((len(least), width * parts), np.int64)
     if least:
         books[:, :length] = [r.whole for r in least]
-    return books.reshape(-1, parts, width).transpose(1, 0, 2)
+    return books.reshape(len(least), parts, width).transpose(1, 0, 2)
 
 
 def distinct_parts(rows: DataFrame, length: int, parts: int) -> DataFrame:

@@ -244,7 +244,7 @@ def test_bpe_equals_the_library(tokenizer, text):
 
     library = test_bpe_equals_the_library.__dict__.setdefault("library", Tokenizer.from_file(f"{TOKENIZERS}/word_bpe_49k.json"))
     ids = library.encode(text, add_special_tokens=False).ids
-    encoder = tokenizer.encoder()
+    encoder = bpe.Tokenizer.encoder(test_bpe_equals_the_library.__dict__.setdefault("parts", tokenizer.parts()))
     line = encoder.encode(text)
     assert line == " ".join(map(str, ids))
     assert encoder.decode(line) == library.decode(ids, skip_special_tokens=False)
@@ -525,3 +525,68 @@ def test_neighbours_against_brute_force(spark):
         hits += len(set(got) & set(best.tolist()))
     assert hits >= 0.95 * 20 * 150
     assert hnsw.neighbours(frame.limit(0)).count() == 0
+
+
+# Every operator
+
+def test_bpe_equals_the_library_on_every_code_point(tokenizer):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(f"{TOKENIZERS}/word_bpe_49k.json")
+    encoder = bpe.Tokenizer.encoder(tokenizer.parts())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        texts = [f":{chr(c)}a" for c in points[at:at + 50_000]]
+        for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert encoder.encode(text) == " ".join(map(str, found.ids)), ascii(text)
+        encoder.clear()
+
+
+def test_long_words_are_not_kept(tokenizer):
+    encoder = bpe.Tokenizer.encoder(tokenizer.parts())
+    encoder.encode("short " + "x" * 5000)
+    assert set(encoder) == {"short"}
+
+
+def test_samples_are_the_lowest_hashes(spark):
+    from roomtide.llm import samples
+
+    rows = [(label, (i * 0x9E3779B97F4A7C15) % 2 ** 64 - 2 ** 63) for label, n in (("a", 5000), ("b", 40), ("c", 3)) for i in range(n)]
+    found = samples.lowest(spark.createDataFrame(rows * 2, "label string, hash long"), 30)
+    own = {label: sorted(r.hash for r in found if r.label == label) for label in "abc"}
+    assert own == {label: sorted(h for a, h in rows if a == label)[:30] for label in "abc"}
+    # Hashes that all lie high pass no first bound.
+    high = [("d", 2 ** 63 - 1 - i) for i in range(2000)]
+    assert {r.hash for r in samples.lowest(spark.createDataFrame(high, "label string, hash long"), 5)} == {2 ** 63 - 2000 + k for k in range(5)}
+    assert samples.lowest(spark.createDataFrame([], "label string, hash long"), 5) == []
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Every operator and the pipeline, with workers that cannot import the repository."""
+    import os
+    import subprocess
+    import sys
+    import textwrap
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "run.py"
+    script.write_text(textwrap.dedent(f"""
+        import importlib.util, os, sys
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "3g").getOrCreate())
+        sys.path.insert(0, {repo!r})  # after the session: workers do not get it
+        spec = importlib.util.spec_from_file_location("__spark_entry__", {repo!r} + "/__spark_entry__.py")
+        driver = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(driver)
+        seen = spark.sparkContext.parallelize([0], 1).map(lambda _: [p for p in __import__("sys").path]).first()
+        assert {repo!r} not in seen, seen
+        folder = sys.argv[1]
+        for name, query in driver.queries().items():
+            if name.startswith("op") and name[2].isdigit() or name in ("pipeline", "rollout", "lr_l1"):
+                print(name, query(spark, folder).count(), flush=True)
+    """))
+    out = subprocess.run([sys.executable, str(script), "/root/testdata/sf0.001"], cwd=tmp_path, capture_output=True, text=True,
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, timeout=900)
+    assert out.returncode == 0, out.stderr[-3000:]
+    assert len(out.stdout.split("\n")) >= 16
