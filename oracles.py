@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from roomtide.plans.registry import EXAMPLE_MODELS
-from roomtide.schemas import FEATURES, TERM_ORDER
-
 CHANNELS = ("audio", "img", "temp", "rh", "light", "co2eq")
 ENV = CHANNELS[2:]
 HOMES = [f"H{i}" for i in range(1, 7)]
 HUBS = [f"RS{i}" for i in range(1, 6)]
 METRICS = ("Accuracy", "F1", "F1 neg", "tnr", "fpr", "fnr", "tpr", "tn", "fp", "fn", "tp")
 LAGS = [f"lag{i}_occupied" for i in range(1, 9)]
+# Order of a model's features and of the rows of coefficient reports.
+EXOGENOUS = ["audio", "co2eq", "light", "rh", "temp", "img", "weekend", "hr_sin", "hr_cos"]
+FEATURES = EXOGENOUS + LAGS
+TERM_ORDER = ["C", "Intercept", "audio", "img", "temp", "rh", "light", "co2eq", "weekend", "hr_cos", "hr_sin"] + LAGS
+# Example weights, one for each feature and the intercept last.
+EXAMPLE_WEIGHTS = {
+    "H1": (0.5, 1.5, 0.1, -0.2, 2.0, 0.3, 0.4, 0.2, 1.1, 3.5, -0.6, 0.1, 0.2, -0.1, -0.1, 0.05, 0.3, -2.5),
+    "H2": (3.2, 2.5, 0.0, 0.4, 0.0, 2.9, 0.2, 1.2, 0.6, 2.8, 0.0, 0.2, 0.0, 0.1, 0.0, -0.2, 0.0, -2.2),
+}
 
 
 def each(template: str, names=CHANNELS, sep: str = ", ") -> str:
@@ -189,7 +195,7 @@ OR_AIE = "greatest(audio, img, temp, rh, light, co2eq)"
 # --- scoring with literal coefficients ----------------------------------------------------
 EXAMPLES = ", ".join(
     "('" + name + "', " + ", ".join(f"{w}::DOUBLE" for w in weights) + ")"
-    for name, weights in EXAMPLE_MODELS.items()
+    for name, weights in EXAMPLE_WEIGHTS.items()
 )
 SCORED = f"""{lagged()},{ROLES},
 weights(train, {', '.join('w_' + f for f in FEATURES)}, w0) AS (VALUES {EXAMPLES}),
@@ -207,6 +213,26 @@ scored AS (
   FROM tests t CROSS JOIN weights w
 )"""
 
+# The regression fed with its own predictions: lag j is the mean of 12 earlier ones once they exist.
+TRUE_LAG = " + ".join(
+    f"CASE WHEN series_pos < {12 * j} THEN w_{lag} * {lag} ELSE 0 END" for j, lag in enumerate(LAGS, 1))
+OWN_LAG = " + ".join(
+    f"CASE WHEN r.pos + 1 >= {12 * j} THEN s.lag_weights[{j}] * list_avg(r.recent[{12 * j - 11}:{12 * j}]) ELSE 0 END"
+    for j in range(1, 9))
+ROLLED = f"""{SCORED},
+series AS MATERIALIZED (
+  SELECT w.train || '|' || home AS series_id, any_value([{', '.join('w_' + f for f in LAGS)}]) AS lag_weights,
+    list(w0 + {' + '.join(f'w_{f} * {f}' for f in EXOGENOUS)} + {TRUE_LAG} ORDER BY series_pos) AS bases
+  FROM tests t CROSS JOIN weights w GROUP BY 1
+),
+rolled AS (
+  SELECT series_id, 0::BIGINT AS pos, 1 / (1 + exp(-bases[1])) AS prob, [1 / (1 + exp(-bases[1]))] AS recent FROM series
+  UNION ALL
+  SELECT series_id, pos, prob, list_prepend(prob, recent[1:95]) FROM (
+    SELECT r.series_id, r.pos + 1 AS pos, r.recent, 1 / (1 + exp(-(s.bases[r.pos + 2] + {OWN_LAG}))) AS prob
+    FROM rolled r JOIN series s ON r.series_id = s.series_id WHERE r.pos + 1 < len(s.bases))
+)"""
+
 # --- relabelling -----------------------------------------------------------------------------
 TRUTH = f"""{READINGS},
 truth AS (
@@ -523,6 +549,9 @@ SELECT home, ts, occupied, round(prob_np, 9) AS prob_np, pred AS pred_np FROM ow
     "score_true_lags": f"""WITH {SCORED}
 SELECT train, home AS test, ts, series_pos, occupied, round(prob_gt, 9) AS prob_gt,
   (prob_gt > 0.5)::INT AS pred_gt FROM scored""",
+    "rollout": f"""WITH RECURSIVE {ROLLED}
+SELECT r.series_id, t.series_pos, t.ts, t.occupied, round(r.prob, 9) AS prob_ar, (r.prob > 0.5)::INT AS pred_ar
+FROM rolled r JOIN tests t ON r.series_id LIKE '%|' || t.home AND t.series_pos = r.pos""",
     "predictor_metrics": f"""WITH {SCORED},
 lookup AS (
   SELECT l.home, weekend, tod_min, avg(occupied) AS prob_np

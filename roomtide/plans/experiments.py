@@ -20,7 +20,7 @@ from roomtide.operators import design as designs
 from roomtide.operators import factorial, models, predictors
 from roomtide.operators import timeseries as ts_ops
 from roomtide.operators.effects import effects_table
-from roomtide.operators.metrics import confusion_of_predictors, model_metrics
+from roomtide.operators.metrics import COUNTS, confusion_of_predictors, model_metrics
 from roomtide.operators.reports import cross_home_order, split_order
 from roomtide.operators.splits import (
     assign_split,
@@ -31,7 +31,7 @@ from roomtide.operators.splits import (
 from roomtide.plans.features import complete_rows, filled_bins, prepare
 from roomtide.runtime import spread, stage
 from roomtide.schemas import LAGS
-from roomtide.sources.config import TrainConfig
+from roomtide.sources.config import TrainConfig, ordered_days
 
 # Report names of the predictors and their prediction columns.
 PREDICTORS = {
@@ -55,7 +55,15 @@ class Trained:
 
 
 def joined_id(*parts: str | Column) -> Column:
-    return F.concat_ws("|", *parts)
+    """The parts joined by ``|``; a ``|`` or backslash inside a part gets a backslash before it."""
+    return F.concat_ws("|", *[
+        F.regexp_replace(F.col(p) if isinstance(p, str) else p, r"([|\\])", r"\\$1") for p in parts])
+
+
+def id_parts(joined: str) -> list[Column]:
+    """The first two parts of an id that :func:`joined_id` made."""
+    found = F.regexp_extract_all(F.col(joined), F.lit(r"((?:[^|\\]|\\.)*)(?:\||$)"), F.lit(1))
+    return [F.regexp_replace(found[k], r"\\(.)", "$1") for k in (0, 1)]
 
 
 def train(
@@ -79,11 +87,15 @@ def train(
         rows = stage(models.training_rows(spread(folded, "dataset", "day"), fold="fold"))
     else:
         rows = stage(models.training_rows(labelled))
-    names = [r.dataset for r in train_days.select("dataset").distinct().orderBy("dataset").collect()]
+    names = train_days.select("dataset").distinct()
     fitted = (
-        models.fit_l1_cv(rows, names, config.n_candidates, config.n_folds)
+        models.fit_l1_cv(rows, names, config.n_candidates, config.n_folds, max_passes=config.max_iter)
         if config.cv
-        else models.fit_l1(rows, [models.Fit(n, config.c) for n in names])
+        else models.fit_l1(
+            rows,
+            names.select("dataset", F.lit(config.c).alias("c"), F.lit(models.NO_HOLDOUT).alias("holdout")),
+            max_passes=config.max_iter,
+        )
     )
     lookup = predictors.time_of_day_model(labelled, ["dataset"])
     return Trained(fitted, lookup)
@@ -112,11 +124,14 @@ def series_rows(
     earlier = (
         Window.partitionBy("series_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     )
+    listed = stage(tests.join(places, [*unit, "day"], "left"))
+    lengths = listed.groupBy("series_id").agg(F.sum("n_rows").alias("n"))
+    tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schedule = (
-        tests.join(places, [*unit, "day"], "left")
-        .withColumn("offset", F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)))
+        listed.withColumn("offset", F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)))
         .join(fitted.select("dataset", "coef"), "dataset")
-        .select("series_id", "dataset", *unit, "day", "first_pos", "offset", "coef")
+        .join(predictors.place_series(lengths, tasks), "series_id")
+        .select("series_id", "dataset", *unit, "day", "first_pos", "offset", "coef", "task", "slot")
     )
     known = reduce(and_, [F.col(c).isNotNull() for c in LAGS])
     place = F.col("offset") + F.col("pos") - F.col("first_pos")
@@ -133,13 +148,13 @@ def predict_rollout(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The regression fed with its own predictions; only needed columns reach Python."""
     ready = predictors.rollout_input(rows.where(F.col("series_pos").isNotNull()))
     return predictors.rollout(
-        ready.select("series_id", "series_pos", "ts", "occupied", *keep, "base", "lag_weights")
+        ready.select("series_id", "series_pos", "ts", "occupied", *keep, "base", "lag_weights", "task", "slot")
     )
 
 
 def predict_all(rows: DataFrame, trained: Trained) -> DataFrame:
     """Probabilities and classes of all five predictors per test row."""
-    instant = predict_instant(rows, stage(trained.lookup))
+    instant = predict_instant(rows, trained.lookup)
     kept = [f"{kind}_{name}" for name in ("ai", "aie", "np", "gt") for kind in ("prob", "pred")]
     rolled = predict_rollout(instant, kept)
     # Rows without all lags: the regressions have no opinion, and metrics leave NULL out.
@@ -147,6 +162,62 @@ def predict_all(rows: DataFrame, trained: Trained) -> DataFrame:
     return rolled.unionByName(rest, allowMissingColumns=True)
 
 
+def split_cells(features: DataFrame, days: DataFrame, splits: Sequence[float]) -> DataFrame:
+    """train_0, train_1, test_0, test_1 per home, split, direction, weekend flag and time of day.
+
+    One aggregation counts each cell up to every split's last training day; training and test
+    counts of both directions follow by subtraction, and no row meets more than one day.
+    """
+    numbered = features.select("home", "day", "weekend", "tod_min", "occupied").join(
+        ordered_days(days).select("home", "day", "day_no", "n_days"), ["home", "day"])
+
+    def until(ratio: float, y: int) -> Column:
+        early = F.col("day_no") <= F.floor(F.col("n_days") * F.lit(float(ratio)))
+        return F.count_if(early & (F.col("occupied") == y))
+
+    sums = [until(s, y).alias(f"c{k}_{y}") for k, s in enumerate(splits) for y in (0, 1)]
+    total = [F.count_if(F.col("occupied") == y).alias(f"all_{y}") for y in (0, 1)]
+    cells = numbered.groupBy("home", "weekend", "tod_min").agg(*total, *sums)
+
+    def counts(k: int, direction: str) -> Column:
+        early = [F.col(f"c{k}_{y}") for y in (0, 1)]
+        late = [F.col(f"all_{y}") - F.col(f"c{k}_{y}") for y in (0, 1)]
+        train, test = (early, late) if direction == "normal" else (late, early)
+        return F.struct(
+            F.lit(float(splits[k])).alias("split"), F.lit(direction).alias("direction"),
+            *[c.alias(f"{role}_{y}") for role, both in (("train", train), ("test", test)) for y, c in enumerate(both)])
+
+    ways = F.array(*[counts(k, d) for k in range(len(splits)) for d in ("normal", "reverse")])
+    return cells.select("home", "weekend", "tod_min", F.explode(ways).alias("w")).select(
+        "home", "weekend", "tod_min", "w.*")
+
+
+def role_cells(features: DataFrame, roles: DataFrame) -> DataFrame:
+    """train_0, train_1, test_0, test_1 per home, weekend flag and time of day."""
+    placed = features.select("home", "day", "weekend", "tod_min", "occupied").join(
+        roles.select("home", "day", "role"), ["home", "day"])
+    return placed.groupBy("home", "weekend", "tod_min").agg(
+        *[F.count_if((F.col("role") == role) & (F.col("occupied") == y)).alias(f"{role}_{y}")
+          for role in ("train", "test") for y in (0, 1)])
+
+
+def or_counts(features: DataFrame, tests: DataFrame) -> DataFrame:
+    """Confusion counts of the OR predictors per ``series_id``: rows are counted once per home and
+    day, and the days of a series added up."""
+    scored = predictors.or_baseline(features)
+    names = {k: v for k, v in PREDICTORS.items() if k.startswith("OR")}
+    days = confusion_of_predictors(scored, ["home", "day"], names)
+    return tests.select("series_id", "home", "day").join(days, ["home", "day"]).groupBy("series_id", "function").agg(
+        *[F.sum(c).alias(c) for c in COUNTS])
+
+
+def regression_counts(rows: DataFrame) -> DataFrame:
+    """Confusion counts of the regressions per ``series_id``; the only predictors whose rows are
+    repeated for every model."""
+    names = {k: v for k, v in PREDICTORS.items() if v in ("pred_gt", "pred_ar")}
+    return confusion_of_predictors(predict_rollout(predictors.score_true_lags(rows), ["pred_gt"]), ["series_id"], names)
+
+
 def experiment_metrics(predictions: DataFrame, names: dict[str, str] = PREDICTORS) -> DataFrame:
     return model_metrics(confusion_of_predictors(predictions, ["series_id"], names))
 
@@ -173,7 +244,7 @@ def cross_home_tests(roles: DataFrame, homes: Sequence[str]) -> DataFrame:
 
 
 def _pair_labels(metrics: DataFrame) -> DataFrame:
-    train_home, test_home = (F.split("series_id", r"\|")[i] for i in (0, 1))
+    train_home, test_home = id_parts("series_id")
     return metrics.select(
         *[c for c in metrics.columns if c != "series_id"],
         train_home.alias("train"),
@@ -197,10 +268,14 @@ def cross_home(
     roles = assign_split(listed, [split]).where(F.col("home").isin(*homes))
     train_days = roles.where(F.col("role") == "train").withColumn("dataset", F.col("home"))
     trained = train(features, train_days, config)
-    rows = series_rows(features, cross_home_tests(roles, homes), trained.models)
-    predictions = predict_all(rows, trained)
-    metrics = cross_home_order(_pair_labels(experiment_metrics(predictions)))
-    return metrics, trained, predictions
+    tests = stage(cross_home_tests(roles, homes))
+    rows = series_rows(features, tests, trained.models)
+    lookups = lookup_matrix(stage(role_cells(features, roles)), homes).select(
+        "train", "test", "self/cross", F.lit("Nonparametric").alias("function"), *COUNTS)
+    counts = or_counts(features, tests).unionByName(
+        regression_counts(rows.where(F.col("series_pos").isNotNull())))
+    metrics = model_metrics(_pair_labels(counts).unionByName(lookups))
+    return cross_home_order(metrics), trained, predict_all(rows, trained)
 
 
 def split_sweep(
@@ -221,10 +296,16 @@ def split_sweep(
         .withColumn("series_id", F.col("dataset"))
     )
     trained = train(features, roles.where(F.col("role") == "train"), config)
-    rows = series_rows(features, roles.where(F.col("role") == "test"), trained.models)
-    labels = roles.select("series_id", "split", "home", "direction").distinct()
-    metrics = _with_labels(experiment_metrics(predict_all(rows, trained)), labels)
-    return split_order(metrics)
+    tests = roles.where(F.col("role") == "test")
+    rows = series_rows(complete_rows(features), tests, trained.models)
+    keys = ("split", "home", "direction")
+    labels = roles.select("series_id", *keys).distinct()
+    counts = or_counts(features, tests).unionByName(regression_counts(rows))
+    tested = tests.select(*keys).distinct()
+    used = listed.where(F.col("home").isin(*homes))
+    lookups = lookup_counts(split_cells(features, used, splits), keys).join(tested, [*keys], "left_semi")
+    both = _with_labels(counts, labels).unionByName(lookups.withColumn("function", F.lit("Nonparametric")))
+    return split_order(model_metrics(both))
 
 
 @dataclass(frozen=True)
@@ -243,7 +324,7 @@ class FactorialResult:
 
     def coefficients(self) -> DataFrame:
         """Coefficients per home and run as long rows."""
-        parts = F.split("train_home", r"\|")
+        parts = id_parts("train_home")
         return models.coefficient_rows(self.models).select(
             parts[0].alias("home"), parts[1].cast("int").alias("run"), "term", "value"
         )

@@ -131,3 +131,82 @@ def test_coefficient_rows(spark):
     rows = {r.term: r.value for r in models.coefficient_rows(fitted).collect()}
     assert rows["audio"] == 0.0 and rows["Intercept"] == 17.0 and rows["C"] == 0.1
     assert len(rows) == 20
+
+
+def test_sets_spread_over_tasks_get_the_same_fits(spark, sets, monkeypatch):
+    """Passes over stored blocks end where the task-local solver does."""
+    folds = {name: stratified_folds(y) for name, (_, y) in sets.items()}
+    rows = []
+    for name, (x, y) in sets.items():
+        rows += [(name, int(f), *map(float, r), float(v)) for f, r, v in zip(folds[name], x, y)]
+    schema = "dataset STRING, fold INT, " + ", ".join(f"{f} DOUBLE" for f in FEATURES) + ", occupied DOUBLE"
+    frame = spark.createDataFrame(rows, schema).repartition(4).cache()
+    fits = [models.Fit(n, c, k) for n in sets for c in (0.02, 0.5, 20.0) for k in (models.NO_HOLDOUT, 0, 3)]
+    solved = {}
+    for local in (1 << 18, 320):  # then "a" and "c" are spread out, "b" is not
+        monkeypatch.setattr(models, "LOCAL_ROWS", local)
+        monkeypatch.setattr(models, "BLOCK_ROWS", 37)
+        solved[local] = {(r.dataset, r.c, r.holdout): r for r in models._solve(frame, fits, 1e-9, 500).collect()}
+    assert set(solved[320]) == set(solved[1 << 18]) == {(f.dataset, f.c, f.holdout) for f in fits}
+    for key, one in solved[1 << 18].items():
+        other = solved[320][key]
+        np.testing.assert_allclose(one.coef, other.coef, atol=1e-6)
+        assert (one.right_rows, one.held_rows) == (other.right_rows, other.held_rows)
+        assert one.held_rows == (0 if key[2] == models.NO_HOLDOUT else int((folds[key[0]] == key[2]).sum()))
+
+
+def test_ten_thousand_sets_in_one_call(spark):
+    from pyspark.sql import functions as F
+
+    n, per = 10_000, 12
+    base = spark.range(n * per).select(
+        (F.col("id") % n).cast("string").alias("dataset"), F.lit(models.NO_HOLDOUT).alias("fold"),
+        *[(F.abs(F.hash("id", F.lit(f))) % 1000 / 1000).alias(f) for f in FEATURES],
+        (F.abs(F.hash(F.lit("y"), "id")) % 2).cast("double").alias("occupied"))
+    asked = spark.range(n).select(F.col("id").cast("string").alias("dataset"), F.lit(2.0).alias("c"),
+                                  F.lit(models.NO_HOLDOUT).alias("holdout"))
+    base = base.cache()
+    fitted = models.fit_l1(base, asked)
+    assert fitted.count() == n
+    some = {r.dataset: np.array(r.coef) for r in fitted.where("dataset IN ('7', '4711', '9999')").collect()}
+    for name, coef in some.items():
+        own = base.where(F.col("dataset") == name).toPandas()
+        assert optimality_gap(own[list(FEATURES)].to_numpy(), own.occupied.to_numpy(), coef, 2.0) < 1e-5
+
+
+@pytest.mark.parametrize("local", [1 << 18, 10])
+def test_a_fit_out_of_passes_raises(spark, sets, monkeypatch, local):
+    monkeypatch.setattr(models, "LOCAL_ROWS", local)
+    rows = training_frame(spark, {"a": sets["a"]})
+    with pytest.raises(models.NotConverged, match="2 passes"):
+        models.fit_l1(rows, [models.Fit("a", 1.0)], max_passes=2)
+    assert models.fit_l1(rows, [models.Fit("a", 1e-9)], max_passes=60).first().coef[:-1] == [0.0] * 17
+
+
+def test_configured_iterations_bound_the_training(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    from roomtide.plans import experiments
+    from roomtide.sources.config import TrainConfig
+
+    x, y = feature_rows(200, 5)
+    rows = [("H1", START + dt.timedelta(minutes=5 * i), (START + dt.timedelta(minutes=5 * i)).date(), 0, 5 * i % 1440,
+             i, int(y[i]), *map(float, x[i])) for i in range(200)]
+    schema = ("home STRING, ts TIMESTAMP_NTZ, day DATE, other INT, tod_min INT, pos LONG, occupied INT, "
+              + ", ".join(f"{f} DOUBLE" for f in FEATURES))
+    frame = spark.createDataFrame(rows, schema)
+    days = frame.select("home", "day").distinct().withColumn("dataset", F.col("home"))
+    with pytest.raises(models.NotConverged):
+        experiments.train(frame, days, TrainConfig(max_iter=1))
+    assert experiments.train(frame, days, TrainConfig()).models.count() == 1
+
+
+def test_a_path_of_strengths_takes_few_passes(spark, sets):
+    rows = training_frame(spark, {"a": sets["a"]})
+    strengths = models.candidate_strengths()
+    path = models.fit_l1(rows, [models.Fit("a", c) for c in strengths]).collect()
+    alone = [models.fit_l1(rows, [models.Fit("a", c)]).first() for c in strengths]
+    assert 2.7 * sum(m.passes for m in path) <= sum(m.passes for m in alone)
+    for one, other in zip(sorted(path, key=lambda m: m.c), alone):
+        np.testing.assert_allclose(one.coef, other.coef, atol=1e-4 * max(1.0, np.abs(other.coef).max()))

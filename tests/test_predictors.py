@@ -98,3 +98,34 @@ def test_base_uses_the_true_lag_only_at_the_start(spark, lag):
     span = 12 * (LAGS.index(lag) + 1)
     expected = np.where(np.arange(40) < span, x[:, FEATURES.index(lag)], 0.0)
     np.testing.assert_array_equal([r.base for r in rows], expected)
+
+
+def test_series_are_dealt_evenly_and_told_apart(spark):
+    lengths = spark.createDataFrame([(f"s{i}", 1 + (i * 37) % 100) for i in range(103)], "series_id STRING, n LONG")
+    for together in (100_000, 10):
+        placed = predictors.place_series(lengths, 8, together).join(lengths, "series_id").collect()
+        assert len(placed) == 103 and len({(r.task, r.slot) for r in placed}) == 103
+    placed = predictors.place_series(lengths, 8).join(lengths, "series_id").collect()
+    rows = [sum(r.n for r in placed if r.task == t) for t in range(8)]
+    assert max(rows) - min(rows) <= 100 and {r.task for r in placed} == set(range(8))
+
+
+@pytest.mark.parametrize("span", [1, 3])
+def test_rollout_with_other_windows(spark, span):
+    rng = np.random.default_rng(3)
+    series = {f"s{i}": (feature_rows(n, i)[0], rng.normal(0, 2, 18)) for i, n in enumerate([1, 2, 40])}
+    df, _ = frame(spark, series)
+    ready = predictors.rollout_input(df, rows_per_lag=span).select("series_id", "series_pos", "base", "lag_weights")
+    got = predictors.rollout(ready, rows_per_lag=span).orderBy("series_id", "series_pos").toPandas()
+    for name, (x, weights) in series.items():
+        np.testing.assert_allclose(got[got.series_id == name].prob_ar, brute_force_rollout(x, weights, span), atol=1e-12)
+
+
+def test_ids_hold_names_with_bars_and_backslashes(spark):
+    from roomtide.plans import experiments
+
+    names = [("H1", "H2"), ("a|b", "c"), ("a", "b|c"), ("\\", "|"), ("x\\|", "\\y"), ("", "z")]
+    df = spark.createDataFrame(names, "a STRING, b STRING").withColumn("id", experiments.joined_id("a", "b"))
+    rows = df.select("a", "b", "id", *[p.alias(n) for p, n in zip(experiments.id_parts("id"), ("first", "second"))]).collect()
+    assert all((r.a, r.b) == (r.first, r.second) for r in rows)
+    assert len({r.id for r in rows}) == len(names) and rows[0].id == "H1|H2"

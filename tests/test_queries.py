@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 
@@ -81,3 +82,47 @@ def test_factorial_queries_run_their_whole_design(spark, name, design):
     runs = [{(r.home, r.run) for r in driver.queries()[q](spark, FOLDER).select("home", "run").distinct().collect() if r.run}
             for q in (name, design)]
     assert runs[0] == runs[1] and len({home for home, _ in runs[0]}) > 1
+
+
+def test_metrics_from_counts_equal_those_of_the_predictions(spark):
+    """Cross-home metrics, counted apart by predictor, against the table of all predictions."""
+    from roomtide.plans import experiments
+    from roomtide.plans.registry import HOMES, HOUR, sensor_readings
+
+    found, _, predictions = experiments.cross_home(sensor_readings(spark, FOLDER), HOMES, HOUR)
+    columns = ["function", "tn", "fp", "fn", "tp"]
+    direct = experiments.experiment_metrics(predictions).select("series_id", *columns).collect()
+    counted = found.select(F.concat_ws("|", "train", "test").alias("series_id"), *columns).collect()
+    assert sorted(map(tuple, direct)) == sorted(map(tuple, counted))
+    assert len(direct) == 36 * 5
+
+
+def test_sweep_scores_the_regressions_on_rows_with_lags_only(spark):
+    sweep = driver.queries()["split_sweep"](spark, FOLDER)
+    rows = {}
+    for r in sweep.collect():
+        rows.setdefault((r.home, r.split, r.direction), {})[r.function] = r.tn + r.fp + r.fn + r.tp
+    for (_, _, direction), n in rows.items():
+        assert n["ground truth AR"] == n["AR predictions (aie)"]
+        assert n["OR (ai)"] == n["OR (aie)"] == n["Nonparametric"]
+        missing = n["OR (ai)"] - n["ground truth AR"]
+        assert missing == (96 if direction == "reverse" else 0) or n["ground truth AR"] == 0
+
+
+ORDERED = {
+    "cross_home_nonparametric": [("function", True), ("self/cross", False)],
+    "split_direction_nonparametric": [("home", True), ("function", False), ("split", True), ("direction", True)],
+    "split_sweep": [("home", True), ("function", False), ("split", True), ("direction", True)],
+    "cross_home": [("function", True), ("self/cross", False)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_reports_come_in_their_order(spark, name):
+    rows = driver.queries()[name](spark, FOLDER).collect()
+    wanted = rows
+    for column, ascending in reversed(ORDERED[name]):
+        wanted = sorted(wanted, key=lambda r: r[column], reverse=not ascending)
+    keys = [c for c, _ in ORDERED[name]]
+    assert [[r[k] for k in keys] for r in rows] == [[r[k] for k in keys] for r in wanted]
+    assert len({tuple(r[k] for k in keys) for r in rows}) > 1
