@@ -21,7 +21,8 @@ def lowest(listed: DataFrame, wanted: int) -> list[Row]:
     rank = F.row_number().over(Window.partitionBy("label").orderBy("hash"))
     room = 2.0
     while True:
-        below = distinct.join(counts, "label").where(share * F.col("n") <= F.lit(room * wanted + 100))
+        # A row for each label; the sample itself holds ``wanted`` rows of each.
+        below = distinct.join(F.broadcast(counts), "label").where(share * F.col("n") <= F.lit(room * wanted + 100))
         found = below.withColumn("rank", rank).where(F.col("rank") <= wanted).select("label", "hash", "n").collect()
         per: dict = {}
         for r in found:
