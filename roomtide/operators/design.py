@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HUBS = 12
+from roomtide.runtime import spread
+
+#: Runs that one row is expanded to.
+CHUNK_BITS = 12
 
 
 def split_comparison(comparison: str) -> tuple[str, str]:
@@ -27,36 +30,56 @@ def number_hubs(hubs: DataFrame) -> DataFrame:
     )
 
 
-def _signs(level: str) -> Column:
+def _free(level: str, generators: Sequence[Sequence[int]] | None) -> str:
+    """Number of hubs whose signs a run number spells out."""
+    if generators is not None:
+        return f"n_hubs - {len(generators)}"
+    if level not in ("full", "half"):
+        raise ValueError(f"unknown level {level!r}")
+    return "n_hubs" if level == "full" else "n_hubs - 1"
+
+
+def _signs(level: str, generators: Sequence[Sequence[int]] | None) -> Column:
     """Signs of a run as an array, first hub first.
 
-    Run numbers count in binary with the first hub as the highest bit.  In the half
-    fraction the last sign is the product of the others.
+    Run numbers count in binary with the first hub as the highest bit.  The sign of a hub
+    beyond the free ones is the product of its generator's; in the half fraction, of all.
     """
-    if level not in ("full", "half"):
-        raise ValueError(f"unknown level {level!r}")
-    free = "n_hubs" if level == "full" else "n_hubs - 1"
-    bits = f"transform(sequence(1, {free}), j -> " \
-           f"if((run - 1) div cast(pow(2, {free} - j) as int) % 2 = 1, 1, -1))"
-    if level == "full":
-        return F.expr(bits)
-    return F.expr(f"concat({bits}, array(aggregate({bits}, 1, (a, b) -> a * b)))")
+    bits = "transform(sequence(1, free), j -> if(shiftright(run - 1, free - j) & 1 = 1, 1, -1))"
+    if generators is None:
+        last = [f"aggregate({bits}, 1, (a, b) -> a * b)"] if level == "half" else []
+    else:
+        last = [" * ".join(f"if(shiftright(run - 1, free - {j}) & 1 = 1, 1, -1)" for j in g) for g in generators]
+    return F.expr(f"concat({bits}, array({', '.join(last)}))" if last else bits)
 
 
-def design(hubs: DataFrame, level: str = "full") -> DataFrame:
+def design(
+    hubs: DataFrame, level: str = "full", generators: Sequence[Sequence[int]] | None = None
+) -> DataFrame:
     """One row per home and run with its array of signs, in hub order.
 
-    ``hubs`` lists home and hub.  The runs double with every hub, so at most
-    ``MAX_HUBS`` hubs are accepted.
+    ``hubs`` lists home and hub; ``level`` is ``full`` or ``half``.  Other fractions of
+    2 ** (k - p) runs are given by p ``generators``, one for each of a home's last p hubs: the
+    numbers of the free hubs whose signs it multiplies.  Runs are numbered by bit operations
+    in chunks, so no list of all runs exists; run numbers are 32-bit.
     """
     per_home = hubs.groupBy("home").agg(F.count("*").cast("int").alias("n_hubs"))
-    guarded = F.when(F.col("n_hubs") <= MAX_HUBS, F.col("n_hubs")).otherwise(
-        F.raise_error(F.lit(f"a design holds at most {MAX_HUBS} hubs")).cast("int")
+    free = F.expr(_free(level, generators))
+    needed = max((j for g in generators for j in g), default=1) if generators else 0
+    usable = (free >= needed) & (free <= 30)
+    guarded = F.when(usable, free).otherwise(
+        F.raise_error(F.lit("a design needs at most 30 free hubs, and free hubs for its generators")).cast("int")
+    )
+    chunks = (
+        per_home.withColumn("free", guarded)
+        .withColumn("low", F.least("free", F.lit(CHUNK_BITS)))
+        .withColumn("chunk", F.explode(F.expr("sequence(0, shiftleft(1, free - low) - 1)")))
     )
-    free = guarded if level == "full" else guarded - 1
     return (
-        per_home.withColumn("run", F.explode(F.sequence(F.lit(1), F.pow(2, free).cast("int"))))
-        .withColumn("signs", _signs(level))
+        spread(chunks, "home", "chunk")
+        .withColumn("at", F.explode(F.expr("sequence(1, shiftleft(1, low))")))
+        .withColumn("run", F.expr("shiftleft(chunk, low) + at"))
+        .withColumn("signs", _signs(level, generators))
         .select("home", "n_hubs", "run", "signs")
     )
 

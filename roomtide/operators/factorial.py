@@ -1,8 +1,9 @@
 """Factorial sensor experiments: features per run, and the model-free variant.
 
 A run decides which channel every hub contributes.  Hubs are first brought side by side
-once per home and time; all runs are then plain column expressions over that one row (or
-over counted distinct rows), so readings are not joined or shuffled once per run.
+once per home and time, then repeated for every set of active hubs, whose runs share label, lags and
+environment; all runs of a set, over any grid of comparisons, are plain column expressions over
+its rows (or over counted distinct rows), so readings are not joined or shuffled once per run.
 """
 
 from __future__ import annotations
@@ -56,93 +57,112 @@ def with_baseline(runs: DataFrame) -> DataFrame:
     return runs.unionByName(zero)
 
 
-def run_segments(
-    runs: DataFrame, spans: DataFrame, comparison: str, bin_minutes: int
+def with_cells(
+    runs: DataFrame, comparisons: Sequence[str], environments: Sequence[bool] = (True,)
 ) -> DataFrame:
-    """Add each run's own time segments: the bins its active hubs cover.
+    """Repeat every run for the cells of a parameter grid.
 
-    The first hub is always active, as carrier of zero-valued channels, environment and
-    label.  A row per run; ``segments`` holds at most one entry per hub.
+    Adds ``comparison``, ``environment``, the channels ``high`` and ``low`` that signs +1 and -1
+    stand for, and ``active``: numbers of the hubs that contribute, joined by commas.  The first
+    hub is always active, as carrier of zero-valued channels, environment and label.
     """
-    high, low = designs.split_comparison(comparison)
-    silent = {sign for sign, channel in ((1, high), (-1, low)) if channel == NO_CHANNEL}
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("comparison"), F.lit(e).alias("environment"),
+                 *[F.lit(ch).alias(n) for n, ch in zip(("high", "low"), designs.split_comparison(c))])
+        for c in comparisons for e in environments
+    ])
     active = (
-        runs.select("home", "run", F.posexplode("signs").alias("at", "sign"))
-        .where((F.col("at") == 0) | ~F.col("sign").isin(*silent) if silent else F.lit(True))
-        .select("home", "run", (F.col("at") + 1).alias("hub_no"))
-        .join(spans.select("home", "hub", "hub_no", "first_ts", "last_ts"), ["home", "hub_no"])
+        "array_join(filter(transform(signs, (s, i) -> CASE WHEN i = 0 OR s = 0 "
+        f"OR (s = 1 AND high <> '{NO_CHANNEL}') OR (s = -1 AND low <> '{NO_CHANNEL}') "
+        "THEN i + 1 END), j -> j IS NOT NULL), ',')"
+    )
+    repeated = runs.withColumn("cell", F.explode(cells)).select(*runs.columns, "cell.*")
+    return repeated.withColumn("active", F.expr(active))
+
+
+def set_segments(runs: DataFrame, spans: DataFrame, bin_minutes: int) -> DataFrame:
+    """Every home's sets of active hubs with their own time segments: the bins the hubs cover.
+
+    A row per set; ``segments`` holds at most one entry per hub.
+    """
+    sets = runs.select("home", "active").distinct()
+    hubs = sets.withColumn("hub_no", F.explode(F.split("active", ",").cast("array<int>"))).join(
+        spans.select("home", "hub", "hub_no", "first_ts", "last_ts"), ["home", "hub_no"]
     )
-    placed = place_in_segments(active, ["home", "run"], bin_minutes)
-    segments = placed.groupBy("home", "run").agg(
+    placed = place_in_segments(hubs, ["home", "active"], bin_minutes)
+    return placed.groupBy("home", "active").agg(
         F.collect_set(F.struct("seg_start", "seg_end", "seg_offset")).alias("segments")
     )
-    return runs.join(segments, ["home", "run"])
 
 
-def _per_day(runs: DataFrame) -> DataFrame:
-    """Repeat each run for its segments and their days, as key for the rows of a home."""
+def _per_day(sets: DataFrame) -> DataFrame:
+    """Repeat each set for its segments and their days, as key for the rows of a home."""
     days = "explode(sequence(to_date(seg_start), to_date(seg_end), INTERVAL 1 DAY))"
-    segments = runs.withColumn("segment", F.explode("segments")).drop("segments")
+    segments = sets.withColumn("segment", F.explode("segments")).drop("segments")
     per_day = segments.select("*", "segment.*").drop("segment").withColumn("day", F.expr(days))
     return spread(per_day, "home", "day")
 
 
-def run_series(
-    wide: DataFrame,
-    runs: DataFrame,
-    comparison: str,
-    n_hubs: int,
-    bin_minutes: int,
-    environment: bool = True,
-) -> DataFrame:
-    """Fused series of every run: channels, label and row position ``pos``.
+def set_series(wide: DataFrame, sets: DataFrame, n_hubs: int, bin_minutes: int) -> DataFrame:
+    """Series of every set of active hubs: environment, label and position ``pos``, fused over its
+    hubs, beside each hub's audio and image.
 
-    A channel the comparison does not use, and the environment when switched off, is the
-    constant 0, which leaves its model weight at 0 just as dropping the column would.
+    All that runs of a set share, and so do their lags, is made once per set; see
+    :func:`expand_runs`.
     """
-    high, low = designs.split_comparison(comparison)
-    channel_of = {1: high, -1: low}
-
-    def signs_of(*channels: str) -> str:
-        """Signs that stand for one of the channels; 0 is the baseline's every channel."""
-        return ", ".join(["0", *(str(s) for s, c in channel_of.items() if c in channels)])
-
     numbers = range(1, n_hubs + 1)
-    roles = {"audio": ("audio",), "img": ("img",), "active": ("audio", "img")}
-    flags = [
-        F.expr(
-            f"coalesce(get(signs, {j - 1}) IN ({signs_of(*channels)}), FALSE)"
-            f"{' OR TRUE' if j == 1 and role == 'active' else ''} AS {role}_on_{j}"
-        )
-        for role, channels in roles.items()
-        for j in numbers
-    ]
+    flags = [F.array_contains(F.split("active", ","), str(j)).alias(f"on_{j}") for j in numbers]
 
-    def fused(column: str, role: str) -> str:
-        """Largest value of a column over the hubs that play the role in the run."""
-        terms = [f"CASE WHEN {role}_on_{j} THEN {column}_{j} END" for j in numbers]
+    def fused(column: str) -> str:
+        terms = [f"CASE WHEN on_{j} THEN {column}_{j} END" for j in numbers]
         return f"greatest({', '.join(terms)}, NULL)"
 
-    values = {c: f"coalesce({fused(c, c)}, 0D)" for c in ("audio", "img")}
-    for c in ENV:
-        values[c] = f"coalesce({fused(c, 'active')}, 0D)" if environment else "0D"
-    values["occupied"] = f"cast({fused('occupied', 'active')} AS INT)"
-
-    schedule = _per_day(runs.select("home", "run", "segments", *flags))
+    schedule = _per_day(sets.select("home", "active", "segments", *flags))
     return (
         wide.withColumn("day", F.to_date("ts"))
         .join(schedule, ["home", "day"])
         .where("ts BETWEEN seg_start AND seg_end")
         .select(
             "home",
-            "run",
+            "active",
             "ts",
-            *[F.expr(f"{v} AS {c}") for c, v in values.items()],
+            *[f"{c}_{j}" for c in ("audio", "img") for j in numbers],
+            *[F.expr(f"coalesce({fused(c)}, 0D) AS {c}") for c in ENV],
+            F.expr(f"cast({fused('occupied')} AS INT) AS occupied"),
             position_in("", bin_minutes).alias("pos"),
         )
     )
 
 
+def expand_runs(rows: DataFrame, runs: DataFrame, n_hubs: int, keys: Sequence[str] = ("run",)) -> DataFrame:
+    """Rows of every run from those of its set of active hubs: column expressions, driven by the
+    run's signs and cell.
+
+    A channel the comparison does not use, and the environment when switched off, is the
+    constant 0, which leaves its model weight at 0 just as dropping the column would.
+    """
+    numbers = range(1, n_hubs + 1)
+
+    def channel(name: str) -> Column:
+        def on(j: int) -> str:
+            sign = f"get(signs, {j - 1})"
+            return f"({sign} = 0 OR ({sign} = 1 AND high = '{name}') OR ({sign} = -1 AND low = '{name}'))"
+
+        terms = [f"CASE WHEN {on(j)} THEN {name}_{j} END" for j in numbers]
+        return F.expr(f"coalesce(greatest({', '.join(terms)}, NULL), 0D)").alias(name)
+
+    made = {
+        "audio": channel("audio"),
+        "img": channel("img"),
+        **{c: F.when(F.col("environment"), F.col(c)).otherwise(0.0).alias(c) for c in ENV},
+    }
+    per_hub = {f"{c}_{j}" for c in ("audio", "img") for j in numbers}
+    shared = [c for c in rows.columns if c not in {*per_hub, *CHANNELS, "home", "active"}]
+    listed = runs.select("home", "active", "signs", "high", "low", "environment",
+                         *[k for k in keys if k != "environment"])
+    return rows.join(listed, ["home", "active"]).select("home", *keys, *made.values(), *shared)
+
+
 # --- model-free variant on inference tables -------------------------------------------
 
 

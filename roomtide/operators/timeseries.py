@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions import clock, numeric
-from roomtide.runtime import spread, stage
+from roomtide.runtime import spread
 from roomtide.schemas import CHANNELS, N_LAGS, ROWS_PER_LAG
 
 HUB = ("home", "hub")
@@ -166,53 +166,62 @@ def label_bins(bins: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def fill(bins: DataFrame, how: str = "zeros") -> DataFrame:
-    """Fill missing channel values: ``zeros``, ``ones`` or ``ffill`` (then zeros)."""
-    columns = [c for c in CHANNELS if c in bins.columns]
-    if how == "ffill":
-        bins, how = _forward_fill(bins, columns), "zeros"
+    """Fill missing channel values by a constant: ``zeros`` or ``ones``."""
     if how not in ("zeros", "ones"):
         raise ValueError(f"unknown fill {how!r}")
     value = 0.0 if how == "zeros" else 1.0
+    columns = [c for c in CHANNELS if c in bins.columns]
     return bins.withColumns({c: F.coalesce(F.col(c), F.lit(value)) for c in columns})
 
 
-def _forward_fill(bins: DataFrame, columns: list[str]) -> DataFrame:
-    """Carry the last known value forward, day by day and then inside each day."""
-    kept = bins.columns
-    bins = stage(bins.withColumn("day", F.to_date("ts")))
-    day_window = Window.partitionBy(*HUB).orderBy("day")
-    earlier = day_window.rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        bins.groupBy(*HUB, "day")
-        .agg(
-            *[
-                F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(f"last_{c}")
-                for c in columns
-            ]
-        )
-        .select(
-            *HUB,
-            "day",
-            *[
-                F.last(f"last_{c}", ignorenulls=True).over(earlier).alias(f"carry_{c}")
-                for c in columns
-            ],
-        )
+def carried_bins(
+    readings: DataFrame, bin_minutes: int = 5, spans: DataFrame | None = None
+) -> DataFrame:
+    """Like :func:`hub_bins`, with the last known value of every channel carried forward.
+
+    Values are carried over the bins that have readings, before any empty bin exists: first
+    from day to day, then inside each day.  A bin is then repeated for the empty ones up to the
+    next.  Both levels read the same shuffle of aggregated bins, and nothing is stored.
+    """
+    if DAY_MINUTES % bin_minutes:
+        raise ValueError(f"a bin of {bin_minutes} minutes does not divide a day")
+    spans = hub_spans(readings, bin_minutes) if spans is None else spans
+    columns = _value_columns(readings)
+    channels = [c for c in CHANNELS if c in columns]
+    known = (
+        to_bins(readings, bin_minutes)
+        .groupBy(*HUB, "ts")
+        .agg(*[F.avg(c).alias(c) for c in columns], F.count("*").alias("n_readings"))
+        .withColumn("day", F.to_date("ts"))
     )
-    so_far = (
-        Window.partitionBy(*HUB, "day")
-        .orderBy("ts")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    days = Window.partitionBy(*HUB).orderBy("day")
+    earlier = days.rowsBetween(Window.unboundedPreceding, -1)
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(f"last_{c}") for c in channels]
+    per_day = known.groupBy(*HUB, "day").agg(F.min("ts").alias("first_of_day"), *last)
+    carried = per_day.select(
+        *HUB,
+        "day",
+        F.lead("first_of_day").over(days).alias("next_day"),
+        *[F.last(f"last_{c}", ignorenulls=True).over(earlier).alias(f"carry_{c}") for c in channels],
     )
+    in_day = Window.partitionBy(*HUB, "day").orderBy("ts")
+    so_far = in_day.rowsBetween(Window.unboundedPreceding, 0)
+    step = f"INTERVAL '{bin_minutes}' MINUTE"
+    full = known.join(carried, [*HUB, "day"]).withColumns(
+        {
+            **{c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.col(f"carry_{c}")) for c in channels},
+            "next": F.coalesce(F.lead("ts").over(in_day), F.col("next_day"), F.expr(f"ts + {step}")),
+        }
+    )
+    empty = F.col("at") > 0
+    others = [c for c in columns if c not in channels]
     return (
-        bins.join(carried, [*HUB, "day"])
-        .withColumns(
-            {
-                c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.col(f"carry_{c}"))
-                for c in columns
-            }
-        )
-        .select(*kept)
+        full.select(*HUB, *columns, "n_readings",
+                    F.posexplode(F.expr(f"sequence(ts, next - {step}, {step})")).alias("at", "ts"))
+        .withColumns({c: F.when(~empty, F.col(c)) for c in others})
+        .withColumn("n_readings", F.when(empty, 0).otherwise(F.col("n_readings")))
+        .join(spans.select(*HUB, "hub_no", "seg_start", "seg_offset"), [*HUB])
+        .select(*HUB, "ts", *columns, "n_readings", position_in("", bin_minutes).alias("pos"), "hub_no")
     )
 
 

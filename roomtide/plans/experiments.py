@@ -60,10 +60,10 @@ def joined_id(*parts: str | Column) -> Column:
         F.regexp_replace(F.col(p) if isinstance(p, str) else p, r"([|\\])", r"\\$1") for p in parts])
 
 
-def id_parts(joined: str) -> list[Column]:
-    """The first two parts of an id that :func:`joined_id` made."""
+def id_parts(joined: str, n: int = 2) -> list[Column]:
+    """The first ``n`` parts of an id that :func:`joined_id` made."""
     found = F.regexp_extract_all(F.col(joined), F.lit(r"((?:[^|\\]|\\.)*)(?:\||$)"), F.lit(1))
-    return [F.regexp_replace(found[k], r"\\(.)", "$1") for k in (0, 1)]
+    return [F.regexp_replace(found[k], r"\\(.)", "$1") for k in range(n)]
 
 
 def train(
@@ -324,9 +324,9 @@ class FactorialResult:
 
     def coefficients(self) -> DataFrame:
         """Coefficients per home and run as long rows."""
-        parts = id_parts("train_home")
+        parts = id_parts("train_home", 4)
         return models.coefficient_rows(self.models).select(
-            parts[0].alias("home"), parts[1].cast("int").alias("run"), "term", "value"
+            parts[0].alias("home"), parts[3].cast("int").alias("run"), "term", "value"
         )
 
     def effects(self) -> DataFrame:
@@ -334,57 +334,117 @@ class FactorialResult:
         return effects_table(self.runs, self.hubs, self.metrics)
 
 
-def factorial_series(
+RUN_KEYS = ("comparison", "environment", "run")
+
+
+@dataclass(frozen=True)
+class FactorialRows:
+    """Hub spans, runs with their cells, and rows per set of active hubs."""
+
+    spans: DataFrame
+    runs: DataFrame
+    sets: DataFrame
+    n_hubs: int
+
+    def lagged(self) -> DataFrame:
+        """Set rows with lags and calendar columns: computed once for all runs of a set."""
+        reach = ts_ops.N_LAGS * ts_ops.ROWS_PER_LAG
+        rows = ts_ops.lag_columns(ts_ops.with_halo(self.sets, reach), ("home", "active"))
+        return predictors.with_time_of_day(ts_ops.calendar_features(ts_ops.drop_halo(rows)))
+
+    def expanded(self, rows: DataFrame, keys: Sequence[str] = RUN_KEYS) -> DataFrame:
+        return factorial.expand_runs(rows, self.runs, self.n_hubs, keys)
+
+
+def factorial_rows(
     readings: DataFrame,
-    comparison: str,
+    comparisons: Sequence[str],
     n_hubs: int,
     bin_minutes: int = 5,
     level: str = "full",
-    environment: bool = True,
+    environments: Sequence[bool] = (True,),
     fill: str = "zeros",
     baseline: bool = True,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(spans, runs, fused series per run) of a factorial study."""
+) -> FactorialRows:
+    """What the runs of a parameter grid share."""
     spans = stage(ts_ops.hub_spans(readings, bin_minutes))
-    hubs = spans.select("home", "hub")
-    runs = designs.design(hubs, level)
+    runs = designs.design(spans.select("home", "hub"), level)
     if baseline:
         runs = factorial.with_baseline(runs)
-    placed = factorial.run_segments(runs, spans, comparison, bin_minutes)
+    runs = stage(factorial.with_cells(runs, comparisons, environments))
     wide = factorial.hubs_side_by_side(filled_bins(readings, bin_minutes, fill, spans), n_hubs)
-    series = factorial.run_series(wide, placed, comparison, n_hubs, bin_minutes, environment)
-    return spans, runs, series
+    sets = factorial.set_series(wide, factorial.set_segments(runs, spans, bin_minutes), n_hubs, bin_minutes)
+    return FactorialRows(spans, runs, sets, n_hubs)
+
 
+def factorial_series(
+    readings: DataFrame,
+    comparison: str,
+    n_hubs: int,
+    bin_minutes: int = 5,
+    level: str = "full",
+    environment: bool = True,
+    fill: str = "zeros",
+    baseline: bool = True,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(spans, runs, fused series per run) of a factorial study with one comparison."""
+    rows = factorial_rows(readings, [comparison], n_hubs, bin_minutes, level, [environment], fill, baseline)
+    runs = rows.runs.select("home", "n_hubs", "run", "signs")
+    return rows.spans, runs, rows.expanded(rows.sets, ("run",))
 
-def factorial_features(series: DataFrame) -> DataFrame:
-    """Lags and calendar columns for every run's series."""
-    reach = ts_ops.N_LAGS * ts_ops.ROWS_PER_LAG
-    lagged = ts_ops.lag_columns(ts_ops.with_halo(series, reach), ("home", "run"))
-    return predictors.with_time_of_day(ts_ops.calendar_features(ts_ops.drop_halo(lagged)))
 
+@dataclass(frozen=True)
+class FactorialGrid:
+    """Results of all cells: metrics per home, comparison, environment and run."""
 
-def factorial_experiment(
+    hubs: DataFrame
+    runs: DataFrame
+    metrics: DataFrame
+    models: DataFrame
+
+    def cell(self, comparison: str, environment: bool = True) -> FactorialResult:
+        here = (F.col("comparison") == comparison) & (F.col("environment") == environment)
+        of_cell = id_parts("dataset", 3)
+        own = (of_cell[1] == comparison) & (of_cell[2] == str(environment).lower())
+        runs = self.runs.where(here).select("home", "n_hubs", "run", "signs")
+        return FactorialResult(self.hubs, runs, self.metrics.where(here).drop("comparison", "environment"),
+                               self.models.where(own))
+
+    def effects(self) -> DataFrame:
+        """The effects table of every cell, one below the other."""
+        cells = [(r.comparison, r.environment) for r in
+                 self.runs.select("comparison", "environment").distinct().collect()]  # the grid asked for
+        tables = [
+            self.cell(c, e).effects().select(F.lit(c).alias("comparison"), F.lit(e).alias("environment"), "*")
+            for c, e in sorted(cells)
+        ]
+        return reduce(DataFrame.unionByName, tables)
+
+
+def factorial_grid(
     readings: DataFrame,
-    comparison: str = "audio_None",
+    comparisons: Sequence[str],
+    environments: Sequence[bool] = (True, False),
     n_hubs: int = 5,
     bin_minutes: int = 5,
     level: str = "full",
-    environment: bool = True,
     split: float = 0.6,
     config: TrainConfig = TrainConfig(),
     days: DataFrame | None = None,
-) -> FactorialResult:
-    """Fit and roll out one model per home and run, baseline run 0 included."""
-    spans, runs, series = factorial_series(
-        readings, comparison, n_hubs, bin_minutes, level, environment, config.fill
-    )
-    features = stage(factorial_features(series))
-    listed = days_of_spans(spans) if days is None else days
-    unit = ("home", "run")
+) -> FactorialGrid:
+    """Fit and roll out one model per home, cell and run, baseline run 0 included, as one job.
+
+    Cells differ in column expressions only: lags, labels and environment are made once per
+    set of active hubs, all models are fitted together and all series rolled out together.
+    """
+    made = factorial_rows(readings, comparisons, n_hubs, bin_minutes, level, environments, config.fill)
+    features = stage(made.expanded(made.lagged()))
+    listed = days_of_spans(made.spans) if days is None else days
+    unit = ("home", *RUN_KEYS)
     roles = (
         assign_split(listed, [split])
-        .join(runs.select(*unit), "home")
-        .withColumn("dataset", joined_id("home", F.col("run").cast("string")))
+        .join(made.runs.select(*unit), "home")
+        .withColumn("dataset", joined_id(*[F.col(k).cast("string") for k in unit]))
         .withColumn("series_id", F.col("dataset"))
     )
     trained = train(features, roles.where(F.col("role") == "train"), config, unit)
@@ -392,7 +452,25 @@ def factorial_experiment(
     counted = experiment_metrics(predict_rollout(rows), ROLLOUT_ONLY)
     labels = roles.select("series_id", *unit).distinct()
     metrics = _with_labels(counted, labels)
-    return FactorialResult(spans.select("home", "hub"), runs, stage(metrics), trained.models)
+    return FactorialGrid(made.spans.select("home", "hub"), made.runs, stage(metrics), trained.models)
+
+
+def factorial_experiment(
+    readings: DataFrame,
+    comparison: str = "audio_None",
+    n_hubs: int = 5,
+    bin_minutes: int = 5,
+    level: str = "full",
+    environment: bool = True,
+    split: float = 0.6,
+    config: TrainConfig = TrainConfig(),
+    days: DataFrame | None = None,
+) -> FactorialResult:
+    """One cell of :func:`factorial_grid`."""
+    grid = factorial_grid(
+        readings, [comparison], [environment], n_hubs, bin_minutes, level, split, config, days
+    )
+    return grid.cell(comparison, environment)
 
 
 @dataclass(frozen=True)

@@ -37,7 +37,11 @@ def filled_bins(
     fill: str = "zeros",
     spans: DataFrame | None = None,
 ) -> DataFrame:
-    bins = ts_ops.hub_bins(readings, bin_minutes, spans)
+    """Labelled bins without gaps; ``fill`` is ``zeros``, ``ones`` or ``ffill`` (then zeros)."""
+    if fill == "ffill":
+        bins, fill = ts_ops.carried_bins(readings, bin_minutes, spans), "zeros"
+    else:
+        bins = ts_ops.hub_bins(readings, bin_minutes, spans)
     return ts_ops.fill(ts_ops.label_bins(bins), fill)
 
 

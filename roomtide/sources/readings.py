@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +22,24 @@ def _from_file_name(group: int) -> Column:
 def read_hub_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Hub CSV files such as ``H1RS1.csv``; home and hub come from the file name.
 
-    Columns are found by name, in any order, and others are ignored.  Files read together
-    must agree in their header; Spark refuses them otherwise.
+    Columns are found by name, in any order, and others are ignored.  The headers are read
+    first; files that share one are read together, and the groups are united by name.
     """
+    groups = csv_headers(spark, paths).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    if len(groups) < 2:
+        return _hub_csv(spark, paths)
+    # As many plans as there are different headers; a file list is what Spark's own listing holds.
+    return reduce(DataFrame.unionByName, [_hub_csv(spark, [unquote(p) for p in g.paths])
+                                          for g in sorted(groups, key=lambda g: g.header)])
+
+
+def csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path`` and ``header`` of every CSV file: its line that names the column ``timestamp``."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+    return lines.where(F.col("header").rlike(r"(^|[,\uFEFF])\s*\"?timestamp\"?\s*(,|$)"))
+
+
+def _hub_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     text = spark.read.option("enforceSchema", False).csv(paths, header=True)
     typed = {f.name: F.col(f.name).cast(f.dataType) for f in HUB_CSV.fields}
     return text.select(

@@ -40,10 +40,31 @@ def test_half_design(spark):
     assert len(five) == 16 and all(np.prod(r.signs) == 1 for r in five)
 
 
-def test_too_many_hubs_are_refused(spark):
-    hubs = hub_frame(spark, [f"RS{i}" for i in range(20)])
-    with pytest.raises(Exception, match="at most"):
-        designs.design(hubs).collect()
+def test_a_quarter_fraction_of_twenty_hubs(spark):
+    hubs = hub_frame(spark, [f"RS{i:02d}" for i in range(1, 21)])
+    generators = [range(1, 19), (1, 3, 5, 7)]
+    runs = designs.design(hubs, generators=generators)
+    ok = " AND ".join(f"signs[{18 + k}] = " + " * ".join(f"signs[{j - 1}]" for j in g) for k, g in enumerate(generators))
+    row = runs.agg(
+        F.count("*").alias("n"), F.countDistinct("run").alias("runs"), F.min("run").alias("low"), F.max("run").alias("high"),
+        F.count_if(F.expr(ok)).alias("ok"), F.countDistinct("signs").alias("signs"),
+        *[F.sum(F.col("signs")[j]).alias(f"s{j}") for j in range(20)]).first()
+    n = 2 ** 18
+    assert (row.n, row.runs, row.low, row.high, row.ok, row.signs) == (n, n, 1, n, n, n)
+    assert [row[f"s{j}"] for j in range(20)] == [0] * 20
+
+
+def test_half_fraction_is_that_of_one_generator(spark):
+    hubs = hub_frame(spark, HUBS4)
+    half = {(r.run, tuple(r.signs)) for r in designs.design(hubs, "half").collect()}
+    assert half == {(r.run, tuple(r.signs)) for r in designs.design(hubs, generators=[(1, 2, 3)]).collect()}
+
+
+def test_designs_beyond_their_numbers_are_refused(spark):
+    with pytest.raises(Exception, match="free hubs"):
+        designs.design(hub_frame(spark, [f"RS{i}" for i in range(40)])).collect()
+    with pytest.raises(Exception, match="free hubs"):
+        designs.design(hub_frame(spark, HUBS4), generators=[(1, 4)]).collect()
 
 
 def test_channels_follow_signs(spark):
@@ -251,3 +272,34 @@ def test_effects_of_stored_results_equal_direct_ones(spark):
 def test_result_columns_are_told_apart(spark):
     df = spark.createDataFrame([(1, 1, 0.5, 3)], "RS1 INT, BS2 INT, Accuracy DOUBLE, other INT")
     assert effects.split_columns(df) == (["RS1", "BS2"], ["Accuracy"])
+
+
+def test_a_grid_of_cells_equals_its_cells_one_by_one(spark):
+    """Environment on and off times three comparisons in one call; runs share lags per hub set."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for hub in ("RS1", "RS2"):
+        for b in range(5 * 288):
+            y = int((b // 40 + (hub == "RS2")) % 3 > 0 and rng.random() > 0.1)
+            rows.append(("H1", hub, 5 * b, y, {"audio": float(rng.random()), "img": float(rng.random()),
+                                               "light": 0.7 * y + 0.3 * float(rng.random())}))
+    source = readings(spark, rows)
+    comparisons = ["img_audio", "audio_None", "img_None"]
+    grid = experiments.factorial_grid(source, comparisons, (True, False), 2)
+    cells = {(r.comparison, r.environment, r.home, r.run): r for r in grid.metrics.collect()}
+    assert len(cells) == 3 * 2 * (4 + 1)
+    sets = grid.runs.select("active").distinct().count()
+    assert sets == 2  # both hubs, and the first alone
+    for comparison, environment in (("img_audio", True), ("audio_None", False)):
+        alone = experiments.factorial_experiment(source, comparison, 2, environment=environment)
+        for r in alone.metrics.collect():
+            got = cells[comparison, environment, r.home, r.run]
+            assert (r.tn, r.fp, r.fn, r.tp) == (got.tn, got.fp, got.fn, got.tp)
+        one = grid.cell(comparison, environment)
+        of_grid, of_cell = ({(r.home, r.run, r.term): r.value for r in found.coefficients().collect()} for found in (one, alone))
+        assert of_grid == pytest.approx(of_cell, abs=1e-9)
+        terms = {r.term: r.value for r in one.coefficients().where("run = 1").collect()}
+        assert (terms["light"] == 0.0) == (not environment)
+    effects_of = grid.effects()
+    assert effects_of.select("comparison", "environment").distinct().count() == 6
+    assert effects_of.where("comparison = 'img_None' AND NOT environment").count() == grid.cell("img_None", False).effects().count()

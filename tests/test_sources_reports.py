@@ -175,3 +175,15 @@ def test_persons_of_a_truth_file_are_discovered(spark, tmp_path):
     (tmp_path / "t.csv").write_text("bo,timestamp,occupied,al\n1,2024-01-05 00:00:00,1,0\n")
     out = sources.read_truth_csv(spark, str(tmp_path), "H1")
     assert out.columns == ["home", "ts", "bo", "al", "occupied"] and out.first().bo == 1
+
+
+def test_hub_files_with_different_headers_are_read_in_one_call(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    (tmp_path / "a b" / "H1RS1.csv").write_text("timestamp,audio,img,temp,rh,light,co2eq,occupied\n2024-01-05 00:00:00,1,2,3,4,5,6,1\n")
+    (tmp_path / "a b" / "H1RS2.csv").write_text("occupied,img,timestamp,co2eq,light,rh,temp,audio,more\n0,2,2024-01-05 00:05:00,6,5,4,3,1,x\n")
+    (tmp_path / "a b" / "H2RS1.csv").write_text("timestamp,audio,img,temp,rh,light,co2eq,occupied\n2024-01-06 00:00:00,7,,3,4,5,6,1\n")
+    found = sources.read_hub_csv(spark, f"{tmp_path}/a b")
+    rows = {(r.home, r.hub): (r.audio, r.img, r.temp, r.rh, r.light, r.co2eq, r.occupied) for r in found.collect()}
+    assert rows == {("H1", "RS1"): (1, 2, 3, 4, 5, 6, 1), ("H1", "RS2"): (1, 2, 3, 4, 5, 6, 0),
+                    ("H2", "RS1"): (7, None, 3, 4, 5, 6, 1)}
+    assert sources.csv_headers(spark, f"{tmp_path}/a b").select("header").distinct().count() == 2
