@@ -233,6 +233,33 @@ rolled AS (
     FROM rolled r JOIN series s ON r.series_id = s.series_id WHERE r.pos + 1 < len(s.bases))
 )"""
 
+# All five predictors of the example models, row by row.
+FIVE = f"""{ROLLED},
+lookup AS (
+  SELECT l.home, weekend, tod_min, avg(occupied) AS prob_np
+  FROM lagged l JOIN roles r ON l.home = r.home AND l.day = r.day
+  WHERE r.role = 'train' GROUP BY 1, 2, 3
+),
+five AS (
+  SELECT s.train || '|' || s.home AS series_id, s.series_pos, s.ts, s.occupied,
+    {OR_AI} AS prob_ai, ({OR_AI} > 0.5)::INT AS pred_ai, {OR_AIE} AS prob_aie, ({OR_AIE} > 0.5)::INT AS pred_aie,
+    k.prob_np, CASE WHEN k.prob_np >= 0.5 THEN 1 ELSE 0 END AS pred_np, prob_gt, (prob_gt > 0.5)::INT AS pred_gt,
+    r.prob AS prob_ar, (r.prob > 0.5)::INT AS pred_ar
+  FROM scored s
+  JOIN rolled r ON r.series_id = s.train || '|' || s.home AND r.pos = s.series_pos
+  LEFT JOIN lookup k ON k.home = s.train AND k.weekend = s.weekend AND k.tod_min = s.tod_min
+)"""
+FIVE_NAMES = {"OR (ai)": "ai", "OR (aie)": "aie", "Nonparametric": "np", "ground truth AR": "gt", "AR predictions (aie)": "ar"}
+
+
+def optimality(listed: str = "1") -> str:
+    """Training rows with all lags; every fit must be optimal for a listed strength."""
+    return f"""WITH {lagged()},{ROLES}
+SELECT l.home, count(*) AS n_rows, sum(occupied)::BIGINT AS n_occupied, 1 AS optimal, {listed} AS strength_listed
+FROM lagged l JOIN roles r ON l.home = r.home AND l.day = r.day
+WHERE r.role = 'train' AND lag8_occupied IS NOT NULL GROUP BY 1"""
+
+
 # --- relabelling -----------------------------------------------------------------------------
 TRUTH = f"""{READINGS},
 truth AS (
@@ -416,6 +443,67 @@ RUN_METRICS = f"{run_series('img', 'audio')},{RUN_RATES}"
 FULL_RUN_METRICS = f"{run_series('img', 'audio', 'signs_full')},{RUN_RATES}"
 
 
+# The grid: three comparisons, with and without environment.
+GRID = [(high, low, env) for high, low in (("audio", "None"), ("img", "audio"), ("img", "None")) for env in (True, False)]
+
+
+def cell(high: str, low: str, env: bool, body: str) -> str:
+    return f"""SELECT '{high}_{low}' AS comparison, {str(env).upper()} AS environment, * FROM ({body})"""
+
+
+def grid_features() -> str:
+    def one(high: str, low: str, env: bool) -> str:
+        kept = each("round({}, 9) AS {}", CHANNELS if env else ("audio", "img"))
+        none = "" if env else ", " + each("0.0::DOUBLE AS {}", ENV)
+        return cell(high, low, env, f"WITH {run_series(high, low)} SELECT home, run, ts, {kept}{none}, occupied FROM series")
+
+    return " UNION ALL BY NAME ".join(one(*c) for c in GRID)
+
+
+def grid_effects() -> str:
+    def one(high: str, low: str, env: bool) -> str:
+        rates = RUN_RATES.replace(OR_AI, OR_AIE) if env else RUN_RATES
+        return cell(high, low, env, f"WITH {run_series(high, low)},{rates} {whole_effects()}")
+
+    return " UNION ALL BY NAME ".join(one(*c) for c in GRID)
+
+
+def grid_lags() -> str:
+    """Lags of every set of active hubs that occurs in the grid's half designs."""
+    each_run = " UNION ALL ".join(
+        f"SELECT home, '{h}{lo}' || run AS run, string_agg(hub_no::VARCHAR, ',' ORDER BY hub_no) AS active FROM signs_half "
+        f"WHERE sign NOT IN ({', '.join(str(s) for s, c in ((1, h), (-1, lo)) if c == 'None') or '9'}) OR hub_no = 1 GROUP BY 1, 2"
+        for h, lo in (("audio", "None"), ("img", "audio")))
+    lags = ", ".join(
+        f"CASE WHEN row_number() OVER w > {12 * i} THEN round_even(avg(occupied) OVER (PARTITION BY home, active ORDER BY ts "
+        f"ROWS BETWEEN {12 * i} PRECEDING AND {12 * i - 11} PRECEDING), 0) END AS {lag}" for i, lag in enumerate(LAGS, 1))
+    return f"""WITH {with_hubs(bins(60))},
+all_sets AS (SELECT DISTINCT home, active FROM ({each_run})),
+fused_sets AS (
+  SELECT a.home, a.active, b.ts, max(b.occupied) AS occupied
+  FROM all_sets a JOIN hubs h ON h.home = a.home AND list_contains(string_split(a.active, ','), h.hub_no::VARCHAR)
+  JOIN bins b ON b.home = a.home AND b.hub = h.hub GROUP BY 1, 2, 3
+)
+SELECT home, active, ts, occupied, {lags} FROM fused_sets WINDOW w AS (PARTITION BY home, active ORDER BY ts)"""
+
+
+def whole_effects() -> str:
+    return f"""SELECT home, 'BL' AS factor, {', '.join(r9(f'max("{m}")::DOUBLE', m) for m in METRICS)}
+FROM run_metrics WHERE run = 0 GROUP BY 1
+UNION ALL
+SELECT home, 'avg', {', '.join(f'round(avg("{m}"), 9)' for m in METRICS)}
+FROM run_metrics WHERE run <> 0 GROUP BY 1
+UNION ALL {effect_query('singles')} UNION ALL {effect_query('pairs')}"""
+
+
+# Thresholds of the configured hubs, hub numbers 1 to 5, null where a home has none.
+CONFIGURED = {"H1": (0.3, 0.5, 0.3, 0.3, 0.3), "H2": (0.3, 0.3, None, 0.3, 0.3), "H3": (0.3, 0.2, 0.4, 0.5, 0.5),
+              "H4": (0.3, 0.4, 0.35, 0.3, 0.3), "H5": (0.3, 0.5, 0.6, 0.3, 0.4), "H6": (None, 0.3, 0.3, 0.5, 0.6)}
+HUB_THRESHOLDS = ", ".join(
+    f"('{home}', '{'BS' if home == 'H6' else 'RS'}{n}', {t}::DOUBLE)"
+    for home, hubs in CONFIGURED.items() for n, t in enumerate(hubs, 1) if t is not None)
+
+
 def effect_columns() -> str:
     return ", ".join(
         r9(f'sum(sign * m."{m}"::DOUBLE) / (count(*) / 2::DOUBLE)', m) for m in METRICS
@@ -552,6 +640,17 @@ SELECT train, home AS test, ts, series_pos, occupied, round(prob_gt, 9) AS prob_
     "rollout": f"""WITH RECURSIVE {ROLLED}
 SELECT r.series_id, t.series_pos, t.ts, t.occupied, round(r.prob, 9) AS prob_ar, (r.prob > 0.5)::INT AS pred_ar
 FROM rolled r JOIN tests t ON r.series_id LIKE '%|' || t.home AND t.series_pos = r.pos""",
+    "example_predictions": f"""WITH RECURSIVE {FIVE}
+SELECT series_id, series_pos, ts, occupied, {', '.join(f'round(prob_{n}, 9) AS prob_{n}, pred_{n}' for n in FIVE_NAMES.values())} FROM five""",
+    "example_cross_home": f"""WITH RECURSIVE {FIVE},
+long AS (
+  SELECT series_id, occupied, unnest([{', '.join(f"'{n}'" for n in FIVE_NAMES)}]) AS function,
+    unnest([{', '.join(f'pred_{n}' for n in FIVE_NAMES.values())}]) AS pred FROM five
+)
+SELECT series_id, function, {RATES_9}
+FROM (SELECT series_id, function, {COUNTS} FROM long GROUP BY 1, 2)""",
+    "lr_optimality": optimality(),
+    "lr_cv_optimality": optimality(),
     "predictor_metrics": f"""WITH {SCORED},
 lookup AS (
   SELECT l.home, weekend, tod_min, avg(occupied) AS prob_np
@@ -679,6 +778,28 @@ UNION ALL
 SELECT home, 'avg', {', '.join(f'round(avg("{m}"), 9)' for m in METRICS)}
 FROM run_metrics WHERE run <> 0 GROUP BY 1
 UNION ALL {effect_query('singles')} UNION ALL {effect_query('pairs')}""",
+    "grid_features": grid_features(),
+    "grid_lags": grid_lags(),
+    "grid_effects": grid_effects(),
+    "hub_sign_rows": f"""WITH {RUN_METRICS}
+SELECT s.home, s.run, round(m."F1", 9) AS "F1", s.factor AS hub, s.sign
+FROM singles s JOIN run_metrics m ON s.home = m.home AND s.run = m.run""",
+    "configured_hubs": f"""WITH {READINGS}
+SELECT DISTINCT r.home, r.hub, t.threshold AS zone_threshold
+FROM readings r JOIN (VALUES {HUB_THRESHOLDS}) t(home, hub, threshold) ON r.home = t.home AND r.hub = t.hub""",
+    "configured_days": f"""WITH {READINGS}
+SELECT DISTINCT home, unnest(generate_series(a, z, INTERVAL '1 day'))::DATE AS day
+FROM (SELECT home, hub, min(ts)::DATE AS a, max(ts)::DATE AS z FROM readings GROUP BY 1, 2)""",
+    "date_ranges_file": f"""WITH {READINGS}
+SELECT home, min(ts)::DATE AS "start", max(ts)::DATE AS "end" FROM readings GROUP BY 1""",
+    "results_read_back": f"""WITH {OWN_HOME}
+SELECT home, {RATES_9} FROM (SELECT home, {COUNTS} FROM own GROUP BY 1)""",
+    "coefficients_read_back": f"""WITH {LOOKUP},{channel_means('test')}
+SELECT term, train_home, round(value, 9) AS value FROM coefs""",
+    "run_record": f"""WITH {READINGS}
+SELECT home, string_agg(DISTINCT hub, ',' ORDER BY hub) AS hubs, 'zeros' AS fill,
+  '{{"penalty":"l1","max_iter":"5000","C":"0.1"}}' AS params, 0 AS cv, 0.1::DOUBLE AS best_c
+FROM readings GROUP BY 1""",
     "coeff_summary": f"""WITH {LOOKUP},{channel_means('train')},
 {summary('coefs', 'summary', "train_home <> 'H4'")}
 SELECT term, {', '.join(r9(c, c, 7) for c in SUMMARY)} FROM summary""",

@@ -22,7 +22,7 @@ def factors(runs: DataFrame, hubs: DataFrame, level: int = 1) -> DataFrame:
 
     Level 1 gives the hubs themselves, level 2 the interactions ``AxB``; the sign is the
     product over the hubs.  ``hubs`` lists home and hub.  Combinations are of a design's
-    hubs, of which there are at most ``MAX_HUBS``.
+    hubs, a row per run.
     """
     names = hubs.groupBy("home").agg(F.array_sort(F.collect_set("hub")).alias("names"))
     numbers = "sequence(1, size(names))"

@@ -662,6 +662,25 @@ def fit_l1_cv(
     return fit_l1(rows, chosen, tolerance, max_passes)
 
 
+def optimality(rows: DataFrame, models: DataFrame) -> DataFrame:
+    """n_rows, n_occupied and the largest breach of the optimality conditions, relative to the
+    penalty, of every model on its :func:`training_rows`; plain sums, apart from the trainer."""
+    terms = [*FEATURES, "one"]
+    score = sum((F.col("coef")[j] * F.col(t) for j, t in enumerate(terms)), F.lit(0.0))
+    error = 1.0 / (1.0 + F.exp(-score)) - F.col("occupied")
+    fitted = models.select("dataset", "c", "coef")
+    sums = rows.withColumn("one", F.lit(1.0)).join(fitted, "dataset").groupBy("dataset", "c", "coef").agg(
+        F.count("*").alias("n_rows"), F.sum("occupied").cast("long").alias("n_occupied"),
+        F.array(*[F.sum(F.col(t) * error) for t in terms]).alias("gradient"))
+    breaches = []
+    for j, t in enumerate(terms):
+        weight, slope, lam = F.col("coef")[j], F.col("gradient")[j], 1.0 / F.col("c")
+        at_zero = F.greatest(F.abs(slope) - lam, F.lit(0.0))
+        breach = F.abs(slope) if t == "one" else F.when(weight == 0, at_zero).otherwise(F.abs(slope + lam * F.signum(weight)))
+        breaches.append(breach * F.col("c"))
+    return sums.select("dataset", "c", "n_rows", "n_occupied", F.greatest(*breaches).alias("breach"))
+
+
 def fit_mllib(rows: DataFrame, c: float = 0.1, max_iter: int = 5000, tolerance: float = 1e-12):
     """One model with Spark ML, the same objective divided by the row count."""
     from pyspark.ml.classification import LogisticRegression

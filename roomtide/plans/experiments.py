@@ -400,23 +400,29 @@ class FactorialGrid:
     hubs: DataFrame
     runs: DataFrame
     metrics: DataFrame
-    models: DataFrame
+    models: DataFrame | None = None
 
-    def cell(self, comparison: str, environment: bool = True) -> FactorialResult:
+    def _cell(self, comparison: str, environment: bool) -> tuple[DataFrame, DataFrame]:
+        """Runs and metrics of one cell."""
         here = (F.col("comparison") == comparison) & (F.col("environment") == environment)
+        runs = self.runs.where(here).select("home", "n_hubs", "run", "signs")
+        return runs, self.metrics.where(here).drop("comparison", "environment")
+
+    def cell(self, comparison: str, environment: bool = True) -> FactorialResult:
         of_cell = id_parts("dataset", 3)
         own = (of_cell[1] == comparison) & (of_cell[2] == str(environment).lower())
-        runs = self.runs.where(here).select("home", "n_hubs", "run", "signs")
-        return FactorialResult(self.hubs, runs, self.metrics.where(here).drop("comparison", "environment"),
-                               self.models.where(own))
+        runs, metrics = self._cell(comparison, environment)
+        return FactorialResult(self.hubs, runs, metrics, self.models.where(own))
 
     def effects(self) -> DataFrame:
         """The effects table of every cell, one below the other."""
         cells = [(r.comparison, r.environment) for r in
                  self.runs.select("comparison", "environment").distinct().collect()]  # the grid asked for
         tables = [
-            self.cell(c, e).effects().select(F.lit(c).alias("comparison"), F.lit(e).alias("environment"), "*")
+            effects_table(runs, self.hubs, metrics).select(
+                F.lit(c).alias("comparison"), F.lit(e).alias("environment"), "*")
             for c, e in sorted(cells)
+            for runs, metrics in [self._cell(c, e)]
         ]
         return reduce(DataFrame.unionByName, tables)
 

@@ -21,10 +21,10 @@ from roomtide.operators.splits import (
 )
 from roomtide.plans import experiments
 from roomtide.plans import features as feature_plans
-from roomtide.runtime import stage
+from roomtide.runtime import new_folder, stage
 from roomtide.schemas import CHANNELS, EFFECT_METRICS, ENV, FEATURES, LAGS
+from roomtide.sources import config, sinks
 from roomtide.sources import readings as readings_source
-from roomtide.sources import sinks
 from roomtide.sources.config import TrainConfig
 
 HOMES = tuple(f"H{i}" for i in range(1, 7))
@@ -249,6 +249,23 @@ def predictor_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scored, list(metrics.DIGITS))
 
 
+def _all_example_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    rows, lookup = _example_rows(spark, folder)
+    return experiments.predict_all(rows, experiments.Trained(example_models(spark), stage(lookup)))
+
+
+def example_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """All five predictors row by row for the example models."""
+    predictions = _all_example_predictions(spark, folder)
+    return rounded(predictions, [c for c in predictions.columns if c.startswith("prob")])
+
+
+def example_cross_home(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics of all five predictors for every example model on every home."""
+    scored = experiments.experiment_metrics(_all_example_predictions(spark, folder))
+    return rounded(scored, list(metrics.DIGITS))
+
+
 def rollout(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = _example_rows(spark, folder)
     return rounded(experiments.predict_rollout(rows), ["prob_ar"])
@@ -487,6 +504,102 @@ def _effects_table(level: str) -> Query:
     return run
 
 
+# --- parameter grid of factorial studies --------------------------------------------------
+
+
+GRID = ("audio_None", "img_audio", "img_None")
+
+
+def _grid_rows(spark: SparkSession, folder: str) -> experiments.FactorialRows:
+    """Three comparisons with and without environment; half designs."""
+    source = sensor_readings(spark, folder)
+    return experiments.factorial_rows(source, GRID, len(HUBS), HOUR, "half", (True, False))
+
+
+def grid_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Series of every home, cell and run, from rows per set of active hubs."""
+    rows = _grid_rows(spark, folder)
+    return rounded(rows.expanded(rows.sets).drop("pos"), CHANNELS)
+
+
+def grid_lags(spark: SparkSession, folder: str) -> DataFrame:
+    """Lags of every set of active hubs: one table for all runs and cells that share them."""
+    return _grid_rows(spark, folder).lagged().select("home", "active", "ts", "occupied", *LAGS)
+
+
+def grid_effects(spark: SparkSession, folder: str) -> DataFrame:
+    """Effects of hubs on the OR predictor with all channels, in every cell."""
+    rows = _grid_rows(spark, folder)
+    scored = predictors.or_baseline(rows.expanded(rows.sets))
+    counts = metrics.confusion(scored, ["home", *experiments.RUN_KEYS], prediction="pred_aie")
+    table = stage(metrics.model_metrics(counts))
+    grid = experiments.FactorialGrid(rows.spans.select("home", "hub"), rows.runs, table)
+    return rounded(grid.effects(), EFFECT_METRICS)
+
+
+def hub_sign_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Hub columns of a result table, found by their names, as rows beside a metric."""
+    runs, hubs, table = _run_metrics(spark, folder, "half")
+    signs = designs.hub_columns(designs.long_design(runs, hubs), HUBS)
+    wide = signs.join(table, ["home", "run"])
+    found, _ = effects.split_columns(wide)
+    long = wide.unpivot(["home", "run", "F1"], found, "hub", "sign")
+    return rounded(long.where(F.col("sign").isNotNull()), ["F1"])
+
+
+# --- configuration, records and files -----------------------------------------------------
+
+
+def configured_hubs(spark: SparkSession, folder: str) -> DataFrame:
+    """Hubs with readings that the configuration lists, with their thresholds."""
+    listed = config.home_hubs(config.home_config(spark))
+    seen = sensor_readings(spark, folder).select("home", "hub").distinct()
+    return seen.join(listed, ["home", "hub"])
+
+
+def configured_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of the ranges that the hubs of every home cover, overlapping ones once."""
+    spans = ts_ops.hub_spans(sensor_readings(spark, folder), HOUR)
+    ranges = F.collect_list(F.struct(F.to_date("first_ts").alias("start"), F.to_date("last_ts").alias("end")))
+    return config.range_days(spans.groupBy("home").agg(ranges.alias("ranges")))
+
+
+def date_ranges_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Each home's first and last day, written as a JSON file of date ranges and read back."""
+    days = sensor_readings(spark, folder).groupBy("home").agg(
+        F.min(F.to_date("ts")).cast("string").alias("a"), F.max(F.to_date("ts")).cast("string").alias("z"))
+    entry = F.struct("home", F.array(F.array("a", "z")))
+    path = new_folder(spark)
+    days.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).coalesce(1).write.text(path)
+    return config.read_date_ranges(spark, path)
+
+
+def results_read_back(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics per home, written as CSV and read back."""
+    found = metrics_by_home(spark, folder)
+    path = new_folder(spark)
+    sinks.write_csv(found, path)
+    return sinks.read_results_csv(spark, path, found.schema)
+
+
+def coefficients_read_back(spark: SparkSession, folder: str) -> DataFrame:
+    """A coefficient-like table with a column per home, written as CSV and read back as rows."""
+    wide = reports.coefficients_by_home(_channel_means(spark, folder, "test"), HOMES)
+    path = new_folder(spark)
+    sinks.write_csv(wide.select("term", *HOMES), path)
+    return rounded(sinks.read_coefficients_csv(spark, path, HOMES), ["value"])
+
+
+def run_record(spark: SparkSession, folder: str) -> DataFrame:
+    """The run parameters as flat text, written as JSON and read back."""
+    record = run_params(spark, folder)
+    path = new_folder(spark)
+    sinks.write_run_parameters(record, path)
+    back = spark.read.schema(record.schema).json(path)
+    return back.select("home", F.array_join("hubs", ",").alias("hubs"), "fill",
+                       F.to_json("params").alias("params"), F.col("cv").cast("int").alias("cv"), "best_c")
+
+
 # --- coefficient reports ----------------------------------------------------------------
 
 
@@ -532,14 +645,14 @@ def sig_labels(spark: SparkSession, folder: str) -> DataFrame:
 # --- models and experiments -------------------------------------------------------------
 
 
-def _trained(spark: SparkSession, folder: str, config: TrainConfig):
+def _trained(spark: SparkSession, folder: str, settings: TrainConfig):
     ready = _prepared(spark, folder)
     train_days = (
         _split_days(ready.spans)
         .where(F.col("role") == "train")
         .withColumn("dataset", F.col("home"))
     )
-    return ready, experiments.train(stage(ready.features), train_days, config)
+    return ready, experiments.train(stage(ready.features), train_days, settings)
 
 
 def lr_l1(spark: SparkSession, folder: str) -> DataFrame:
@@ -558,10 +671,26 @@ def lr_coeff_report(spark: SparkSession, folder: str) -> DataFrame:
     return reports.term_order(rounded(table, HOMES, 6))
 
 
+def _optimality(cv: bool) -> Query:
+    """Training rows of every home, and whether its model is optimal for one of the candidate strengths."""
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        settings = TrainConfig(cv=cv)
+        ready, trained = _trained(spark, folder, settings)
+        days = _split_days(ready.spans).where(F.col("role") == "train").select("home", "day")
+        rows = models.training_rows(ready.features.join(days, ["home", "day"]), "home")
+        found = models.optimality(rows, trained.models)
+        allowed = models.candidate_strengths(settings.n_candidates) if cv else [settings.c]
+        listed = F.array_contains(F.array(*[F.lit(c) for c in allowed]), F.col("c"))
+        return found.select(F.col("dataset").alias("home"), "n_rows", "n_occupied",
+                            (F.col("breach") < 1e-4).cast("int").alias("optimal"), listed.cast("int").alias("strength_listed"))
+
+    return query
+
+
 def run_params(spark: SparkSession, folder: str) -> DataFrame:
-    config = TrainConfig()
-    ready, trained = _trained(spark, folder, config)
-    return sinks.run_parameters(ready.spans.select("home", "hub"), trained.models, config)
+    settings = TrainConfig()
+    ready, trained = _trained(spark, folder, settings)
+    return sinks.run_parameters(ready.spans.select("home", "hub"), trained.models, settings)
 
 
 def five_predictors(spark: SparkSession, folder: str) -> DataFrame:
@@ -619,6 +748,8 @@ QUERIES: dict[str, Query] = {
     "score_true_lags": score_true_lags,
     "predictor_metrics": predictor_metrics,
     "rollout": rollout,
+    "example_predictions": example_predictions,
+    "example_cross_home": example_cross_home,
     "metrics_by_home": metrics_by_home,
     "metrics_sigdigits": metrics_sigdigits,
     "confusion_table": confusion_table,
@@ -650,6 +781,16 @@ QUERIES: dict[str, Query] = {
     "interaction_effects_full": _interaction_effects("full"),
     "effects_table": _effects_table("half"),
     "effects_table_full": _effects_table("full"),
+    "grid_features": grid_features,
+    "grid_lags": grid_lags,
+    "grid_effects": grid_effects,
+    "hub_sign_rows": hub_sign_rows,
+    "configured_hubs": configured_hubs,
+    "configured_days": configured_days,
+    "date_ranges_file": date_ranges_file,
+    "results_read_back": results_read_back,
+    "coefficients_read_back": coefficients_read_back,
+    "run_record": run_record,
     "coeff_summary": coeff_summary,
     "coeff_summary_compat": coeff_summary_compat,
     "coeff_join": coeff_join,
@@ -658,6 +799,8 @@ QUERIES: dict[str, Query] = {
     "lr_l1": lr_l1,
     "lr_l1_cv": lr_l1_cv,
     "lr_coeff_report": lr_coeff_report,
+    "lr_optimality": _optimality(cv=False),
+    "lr_cv_optimality": _optimality(cv=True),
     "run_params": run_params,
     "five_predictors": five_predictors,
     "cross_home": cross_home,
