@@ -15,14 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomtide.llm import bpe, decontamination, jaccard, surrogates, toxicity
+from roomtide.llm.names import unused
 from roomtide.llm.queries import TOKENIZERS, remainder, table
 from roomtide.runtime import stage
 
 
+#: Columns that the toxicity network adds.
+RESULTS = ("score", "windows", "predicted")
+
+
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the toxicity network rejects (score 0.7 or more)."""
-    judged = toxicity.classify(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 3) == 1)
-    return judged.where("predicted = 0").select(*docs.columns)
+    # Columns that are called like the network's results are set aside meanwhile.
+    aside = {c: new for c, new in zip(RESULTS, unused(docs.columns, *RESULTS)) if c in docs.columns}
+    judged = toxicity.classify(docs.withColumnsRenamed(aside), table(spark, sf_dir, "labels"), remainder("doc_id", 3) == 1)
+    return judged.where("predicted = 0").drop(*RESULTS).withColumnsRenamed({n: c for c, n in aside.items()}).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +44,12 @@ def keep_unseen_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by surrogates; ``n_chars`` follows the new text."""
-    out = surrogates.replaced(docs)
+    aside = {"n_entities": unused(docs.columns, "n_entities")[0]} if "n_entities" in docs.columns else {}
+    out = surrogates.replaced(docs.withColumnsRenamed(aside))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(
             docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.drop("n_entities").withColumnsRenamed({n: c for c, n in aside.items()}).select(*docs.columns)
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

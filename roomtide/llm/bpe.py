@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
+from roomtide.llm.names import unused
+
 # Fixed value: the pattern that splits text into words in the tokenizer file this module reads.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "\n"
@@ -268,6 +270,7 @@ def encode(documents: DataFrame, path: str, texts: bool = False) -> DataFrame:
     kept = [c for c in documents.columns
             if c not in ("text", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")]
     kinds = [f for f in documents.schema.fields if f.name in kept]
+    read, = unused(kept, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Tokenizer.encoder(shared.value)
@@ -275,7 +278,7 @@ def encode(documents: DataFrame, path: str, texts: bool = False) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 counts, firsts, seconds, ids, decoded = [], [], [], [], []
-                for text in part.column("_text").to_pylist():
+                for text in part.column(read).to_pylist():
                     line = encoder.encode(text or "")
                     back = encoder.decode(line)
                     counts.append(line.count(" ") + 1 if line else 0)
@@ -295,5 +298,5 @@ def encode(documents: DataFrame, path: str, texts: bool = False) -> DataFrame:
     schema = StructType(kinds).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if texts:
         schema = schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
-    source = documents.select(*kept, F.col("text").cast("string").alias("_text"))
+    source = documents.select(*kept, F.col("text").cast("string").alias(read))
     return source.mapInArrow(run, schema)

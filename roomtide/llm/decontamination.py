@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomtide.llm.bitmaps import bitmap, slots, unpacked
+from roomtide.llm.names import unused
 from roomtide.llm.words import Hasher, shingles, slices, words_of
 from roomtide.runtime import stage
 
@@ -147,7 +148,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that contain no item, columns unchanged."""
+    own, same = unused(documents.columns, "id", "print")
     bad = contaminated(documents, benchmark).select(
-        F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_id"))
-                          & (F.xxhash64(F.col("text").cast("string")) == F.col("_print")), "left_anti")
+        F.col("doc_id").alias(own), F.col("print").alias(same)).distinct()
+    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(own))
+                          & (F.xxhash64(F.col("text").cast("string")) == F.col(same)), "left_anti")

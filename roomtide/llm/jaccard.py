@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from roomtide.llm.bitmaps import bitmap, slots, unpacked
 from roomtide.llm.components import components
+from roomtide.llm.names import unused
 from roomtide.llm.words import Hasher, mixed, shingle_set, slices, words_of
 from roomtide.runtime import stage
 
@@ -414,21 +415,22 @@ def deduplicated(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFra
     share the smallest id, the least hash of all columns decides; of rows equal in every column one
     stays.
     """
+    mark, own, same = unused(documents.columns, "print", "id", "key")
     # Map columns have no hash; rows that differ in them alone count as equal.  Hashes skip nulls, so these are marked.
     hashed = [F.col(f"`{f.name}`") for f in documents.schema.fields if "map<" not in f.dataType.simpleString()]
-    printed = documents.withColumn("_print", F.xxhash64(*hashed, *[c.isNull() for c in hashed]))
-    rooted = stage(_rooted(printed, n, percent, ("_print",)))
-    full = rooted.where(F.col("root").isNotNull()).groupBy("root", "doc_id", "_print").agg(F.count("*").alias("copies"))
-    first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_print", "copies")).alias("f"))
-    empty = rooted.where("n_shingles = 0").select("doc_id", "_print", F.lit(1).cast("long").alias("copies")).distinct()
-    keys = stage(first.select("f.doc_id", "f._print", "f.copies").unionByName(empty).select(
-        F.col("doc_id").alias("_id"), F.col("_print").alias("_key"), "copies"))
+    printed = documents.withColumn(mark, F.xxhash64(*hashed, *[c.isNull() for c in hashed]))
+    rooted = stage(_rooted(printed, n, percent, (mark,)))
+    full = rooted.where(F.col("root").isNotNull()).groupBy("root", "doc_id", mark).agg(F.count("*").alias("copies"))
+    first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(mark).alias("mark"), "copies")).alias("f"))
+    empty = rooted.where("n_shingles = 0").select("doc_id", F.col(mark).alias("mark"), F.lit(1).cast("long").alias("copies")).distinct()
+    keys = stage(first.select("f.doc_id", "f.mark", "f.copies").unionByName(empty).select(
+        F.col("doc_id").alias(own), F.col("mark").alias(same), "copies"))
 
     def held(wanted: DataFrame) -> DataFrame:
-        return printed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_key")), "left_semi")
+        return printed.join(wanted, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(same)), "left_semi")
 
     out = held(keys.where("copies = 1"))
     repeated = keys.where("copies > 1")
     if not repeated.isEmpty():
-        out = out.unionByName(held(repeated).dropDuplicates(["doc_id", "_print"]))
-    return out.drop("_print")
+        out = out.unionByName(held(repeated).dropDuplicates(["doc_id", mark]))
+    return out.drop(mark)

@@ -590,3 +590,94 @@ def test_executors_need_no_copy_of_the_package(tmp_path):
                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, timeout=900)
     assert out.returncode == 0, out.stderr[-3000:]
     assert len(out.stdout.split("\n")) >= 16
+
+
+def test_names_in_every_spelling(spark):
+    names = ["Mr. J. Smith", "MR JOHN SMITH", "Mr  John Smith", "Mr.\nJohn Smith", "Mr\u00a0John Smith", "Dr. John Smith", "Prof. Ada M. Lovelace",
+             "Mr John Michael Peter Smith", "Mrs. Anne-Marie van der Berg", "Herr O'Neill", "DR. JOSÉ NIÑO", "Señora María de la Cruz",
+             "Доктор Анна Иванова", "Mme \r\n Curie", "SRA. ANA", "Sr. Juan Pérez"]
+    out = {r.doc_id: r for r in surrogates.replaced(table(spark, [(i, f"then {n}, who left.") for i, n in enumerate(names)])).collect()}
+    real = {w.lower() for n in names for w in re.findall(r"\w{3,}", n)} - {"prof", "herr", "señora", "доктор", "mme", "sra", "mrs", "van", "der"}
+    for i, name in enumerate(names):
+        text = out[i].text
+        assert out[i].n_entities == 1 and text.startswith("then ") and text.endswith(", who left."), (name, text)
+        new = text[5:-11]
+        assert not {w.lower() for w in re.findall(r"\w{3,}", new)} & real, (name, new)
+        assert re.findall(r"\s+", new) == re.findall(r"\s+", name)
+        assert [w.isupper() for w in new.split()] == [w.isupper() for w in name.split()]
+    assert out[0].text[5:10].startswith("Mr. ") and re.fullmatch(r"Mr\. [A-Z]\. \w+", out[0].text[5:-11])
+    surname = lambda i: out[i].text[5:-11].split()[-1].lower()
+    assert surname(0) == surname(1) == surname(2) == surname(3) == surname(4) == surname(5) == surname(7)
+    assert " van der " in out[8].text and " de la " in out[11].text
+    clean = ["Dr. and nobody", "MR is a word", "the Sir said", "Mrs.", "Misses Smith", "Mrt Smith", "DROP TABLE X"]
+    kept = {r.doc_id: r for r in surrogates.replaced(table(spark, list(enumerate(clean)))).collect()}
+    assert all(kept[i].text == t and kept[i].n_entities == 0 for i, t in enumerate(clean))
+
+
+def test_accented_addresses_and_ipv6(spark):
+    texts = ["josé.niño@correo.es", "Иван.Петров@почта.рф", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "see fe80::1ff:fe23:4567:890a.", "x ::1, y",
+             "12:34:56 std::vector a::b 1:2:3:4"]
+    out = {r.doc_id: r for r in surrogates.replaced(table(spark, list(enumerate(texts)))).collect()}
+    assert not set("éñ") & set(out[0].text) and re.fullmatch(r"[a-z]{4}\.[a-z]{4}@[a-z]{6}\.es", out[0].text)
+    assert re.fullmatch(r"[А-Я][а-я]{3}\.[А-Я][а-я]{5}@[а-я]{5}\.рф", out[1].text) and "етров" not in out[1].text
+    assert re.fullmatch(r"(?:[0-9a-f]{4}:){7}[0-9a-f]{4}", out[2].text) and out[2].text != texts[2]
+    assert re.fullmatch(r"see [0-9a-f]{4}::[0-9a-f]{3}:[0-9a-f]{4}:\d{4}:[0-9a-f]{4}\.", out[3].text) and out[3].text != texts[3]
+    assert [out[i].n_entities for i in range(6)] == [1, 1, 1, 1, 1, 0] and out[5].text == texts[5]
+
+
+def test_a_hundred_thousand_names_stay_distinct(spark):
+    found = spark.range(100_000).select(F.lit("given/male/latin").alias("kind"), F.concat(F.lit("n"), F.col("id")).alias("canon"))
+    found = found.unionByName(spark.range(50).select(F.lit("email").alias("kind"), F.concat(F.lit("a@"), F.chr(97 + F.col("id") % 26), F.lit(".bc")).alias("canon")).distinct())
+    row = surrogates.attempts(found, "k").where("kind <> 'email'").agg(
+        F.count("*").alias("n"), F.countDistinct("made").alias("made"), F.count_if(F.col("made").contains("-")).alias("hashed"),
+        F.max("attempt").alias("most")).first()
+    assert (row.n, row.made, row.hashed) == (100_000, 100_000, 0) and row.most >= 1
+
+
+CLASHING = ["_text", "_id", "_print", "_key", "_mentions", "_attempts", "_held", "_same", "_row", "_of", "_n", "_m", "_r", "_h", "copies",
+            "class", "root", "hash", "print", "key", "score", "windows", "predicted", "n_entities", "n_tokens", "item", "item_id", "count",
+            "label", "token", "part", "rank", "size", "shard", "slot", "rows", "u"]
+
+
+def clashing(spark, data):
+    """Documents with a column for every internal name of the operators."""
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    return frame.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+
+
+@pytest.fixture(scope="module")
+def clash_table(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("clash"))
+    data = [(i, t, "en" if (i or 0) % 2 else "de", "s", 3) for i, t in rows()[:60]] + [(None, None, None, None, None), (77, "", None, None, None)]
+    clashing(spark, data).repartition(2).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(tokens(rows()[0][1])[:12])), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    empty = f"{folder}/empty"
+    clashing(spark, []).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{empty}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
+    return folder, len(data)
+
+
+NAMES = [n for n in queries.QUERIES if n not in ("op10_small_world_neighbours", "op11_trie_codes")]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_columns_with_internal_names_and_empty_tables(spark, clash_table, name):
+    folder, n = clash_table
+    found = queries.QUERIES[name](spark, folder)
+    assert found.count() == n or name.startswith("op5_")
+    assert queries.QUERIES[name](spark, f"{folder}/empty").count() == 0
+
+
+def test_stages_pass_columns_with_internal_names(spark, clash_table):
+    import corpus_pipeline
+
+    folder, _ = clash_table
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, function in corpus_pipeline.STAGES[:4]:
+        out = function(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert all(r[c] == (None if r.doc_id is None else f"{c} {r.doc_id}") for c in CLASHING), name
+    assert "ids_sha256" in corpus_pipeline.STAGES[4][1](spark, docs, folder).columns
