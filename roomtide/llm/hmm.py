@@ -13,7 +13,8 @@ texts: tasks compute them, Spark adds them up, and the driver sees sums of fixed
 rare words are matched by hash range in tasks that hold a few million words each, so no vocabulary
 is broadcast or collected.
 
-Training runs over segments of SEGMENT tokens; scoring runs the scaled forward recursion over whole
+States start from the class counts of texts that hold one of the ANCHORS most frequent classes, those
+that differ most; all training texts count.  Training runs over segments of SEGMENT tokens; scoring runs the scaled forward recursion over whole
 texts, which gives their exact likelihood under the model.
 
 Defined results: null and empty texts have the end token only; without training texts the base
@@ -39,6 +40,7 @@ COMMON = 4096
 RARE = 512
 SEGMENT = 128
 ROUNDS = 3
+ANCHORS = 48
 SMOOTH = 0.1
 RANGE_WORDS = 8 << 20
 TEXT_BYTES = 6 << 20
@@ -79,21 +81,21 @@ def _prepared(documents: DataFrame, held_out: Column) -> DataFrame:
 
 
 def common_words(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """Hashes of at most COMMON words, each 1 / COMMON of the training tokens or more by the parts'
-    counts, and the number of training tokens.  A part leaves out words far below that share."""
+    """Hashes of at most COMMON words, each 1 / COMMON of the training tokens or more, and the
+    number of training tokens; all words are counted, so neither depends on how rows fall into tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in _read(batches):
             words, counts = np.unique(found.hashes, return_counts=True)
-            many = counts * (8 * COMMON) >= len(found.hashes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(words[many].view(np.int64), 0)), pa.array(np.append(counts[many], len(found.hashes) + batch.num_rows)),
-                 pa.array(np.append(np.zeros(int(many.sum()), np.int32), 1).astype(np.int32))], ["word", "count", "total"])
+                [pa.array(np.append(words.view(np.int64), 0)), pa.array(np.append(counts, len(found.hashes) + batch.num_rows)),
+                 pa.array(np.append(np.zeros(len(words), bool), True))], ["word", "count", "total"])
 
-    counted = stage(texts.where(~F.col("held_out")).mapInArrow(run, "word long, count long, total int")
-                    .groupBy("total", "word").agg(F.sum("count").alias("count")))
-    total = counted.where("total = 1").select("count").first()
+    counted = texts.where(~F.col("held_out")).mapInArrow(run, "word long, count long, total boolean").groupBy("total", "word").agg(
+        F.sum("count").alias("count"))
+    counted = stage(counted)
+    total = counted.where("total").select("count").first()
     tokens = total[0] if total else 0
-    rows = counted.where((F.col("total") == 0) & (F.col("count") * COMMON >= tokens)).select("word").collect()
+    rows = counted.where(~F.col("total") & (F.col("count") * COMMON >= tokens)).select("word").collect()
     return np.array([r[0] for r in rows], np.int64).view(np.uint64), tokens
 
 
@@ -139,10 +141,16 @@ def rare_counts(texts: DataFrame, classes: Classes, ranges: int) -> DataFrame:
                 a, b = bounds[r], bounds[r + 1]
                 if a == b:
                     continue
+                # Keys of the rows that have words here, and no others: their bytes do not grow with the ranges.
+                held, at = np.unique(row[a:b], return_inverse=True)
+                # A word in several rows is written once.
+                word_start = np.flatnonzero(np.concatenate([[True], word[a + 1:b] != word[a:b - 1]]))
+                each = np.diff(np.append(word_start, b - a))
+                own = word[a:b][word_start]
                 for column, value in zip(out, (
-                        r, distinct[word[a:b]].tobytes(), (number[word[a:b]] - offset).astype(np.uint16).tobytes(),
-                        row[a:b].astype(np.uint32).tobytes(), counts[a:b].astype(np.uint32).tobytes(),
-                        keys.tobytes() + learned.tobytes())):
+                        r, distinct[own].tobytes(), (number[own] - offset).astype(np.uint16).tobytes() + each.astype(np.uint32).tobytes(),
+                        at.ravel().astype(np.uint32).tobytes(), counts[a:b].astype(np.uint32).tobytes(),
+                        keys[held].tobytes() + learned[held].tobytes())):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int32())] + [pa.array(c, pa.binary()) for c in out[1:]],
@@ -150,8 +158,9 @@ def rare_counts(texts: DataFrame, classes: Classes, ranges: int) -> DataFrame:
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, "range"):
-            words = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows])
-            number = np.concatenate([np.frombuffer(r["classes"], np.uint16) for r in rows])
+            each = [np.frombuffer(r["classes"], np.uint32, offset=len(r["words"]) // 4) for r in rows]
+            words = np.concatenate([np.repeat(np.frombuffer(r["words"], np.uint64), n) for r, n in zip(rows, each)])
+            number = np.concatenate([np.repeat(np.frombuffer(r["classes"], np.uint16, len(n)), n) for r, n in zip(rows, each)])
             counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows]).astype(np.int64)
             sizes = [len(r["keys"]) // 9 for r in rows]
             shifts = np.cumsum([0, *sizes[:-1]])
@@ -187,21 +196,20 @@ class Model:
         self.start, self.move, self.emit = start, move, emit
 
     @classmethod
-    def started(cls, histograms: np.ndarray, totals: np.ndarray) -> Model:
-        """From a bounded sample of texts: a mixture of unigram models, one a state."""
-        rng = np.random.default_rng(5)
+    def started(cls, seen: np.ndarray, totals: np.ndarray) -> Model:
+        """From ``seen``, a row of class counts of the texts that hold each anchor class: states
+        start from anchors whose texts differ most, chosen farthest first."""
         usual = (totals + 0.5) / (totals + 0.5).sum()
         emit = np.tile(usual, (STATES, 1))
-        if len(histograms):
-            pick = rng.choice(len(histograms), STATES, replace=len(histograms) < STATES)
-            emit = histograms[pick] + 30 * usual
-            for _ in range(20):
-                emit /= emit.sum(1, keepdims=True)
-                odds = histograms @ np.log(emit).T
-                share = np.exp(odds - odds.max(1, keepdims=True))
-                share /= share.sum(1, keepdims=True)
-                emit = share.T @ histograms + 30 * usual
-        emit /= emit.sum(1, keepdims=True)
+        if len(seen):
+            rows = seen + 30 * usual
+            rows /= rows.sum(1, keepdims=True)
+            roots = np.sqrt(rows)
+            chosen = [int(((roots - np.sqrt(usual)) ** 2).sum(1).argmax())]
+            while len(chosen) < STATES:
+                gap = np.min([((roots - roots[k]) ** 2).sum(1) for k in chosen], axis=0)
+                chosen.append(int(gap.argmax()))
+            emit = rows[chosen]
         move = np.full((STATES, STATES), 0.05 / max(STATES - 1, 1))
         np.fill_diagonal(move, 0.95)
         return cls(np.full(STATES, 1 / STATES), move, emit)
@@ -273,7 +281,7 @@ def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint16).astype(np.int64) for x in batch.column("classes").to_pylist()]
 
 
-def train(coded: DataFrame, classes: Classes, rounds: int = ROUNDS, sample: int = 400) -> tuple[Model, np.ndarray]:
+def train(coded: DataFrame, classes: Classes, rounds: int = ROUNDS, anchors: int = ANCHORS) -> tuple[Model, np.ndarray]:
     """Model and the training count of every class."""
     spark = coded.sparkSession
     learning = coded.where(~F.col("held_out"))
@@ -300,9 +308,22 @@ def train(coded: DataFrame, classes: Classes, rounds: int = ROUNDS, sample: int
 
     totals = added(lambda own: np.bincount(np.concatenate(own), minlength=number).astype(np.float64))
     totals = np.concatenate([totals, np.zeros(number)])[:number]
-    first = learning.select("key", "classes").where(F.length("classes") <= 40_000).orderBy(F.xxhash64("key"), "key").limit(sample).collect()
-    histograms = np.array([np.bincount(np.frombuffer(r["classes"], np.uint16), minlength=number) for r in first], float)
-    model = Model.started(histograms.reshape(-1, number), totals)
+    anchor = np.argsort(-totals[1:], kind="stable")[:anchors] + 1
+    anchor = anchor[totals[anchor] > 0]
+
+    def held(own: list[np.ndarray]) -> np.ndarray:
+        """Class counts of the texts that hold each anchor, added up over all texts."""
+        sums = np.zeros((len(anchor), number))
+        for at in range(0, len(own), 250):
+            part = own[at:at + 250]
+            text = np.repeat(np.arange(len(part)), [len(s) for s in part])
+            tokens = np.concatenate(part)
+            counts = np.bincount(text * number + tokens, minlength=len(part) * number).reshape(len(part), number).astype(float)
+            sums += (counts[:, anchor] > 0).astype(float).T @ counts
+        return sums.ravel()
+
+    seen = np.concatenate([added(held), np.zeros(len(anchor) * number)])[:len(anchor) * number]
+    model = Model.started(seen.reshape(len(anchor), number), totals)
     size = STATES + STATES ** 2 + STATES * number
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast((model.start, model.move, model.emit))  # states x classes numbers
