@@ -8,13 +8,16 @@ import sys
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from roomtide.operators import metrics  # noqa: E402
 from roomtide.operators import timeseries as ts_ops  # noqa: E402
 from roomtide.plans import experiments, features  # noqa: E402
-from roomtide.plans.registry import FIVE, HOMES, sensor_readings  # noqa: E402
+from roomtide.operators.splits import assign_split, days_of_spans  # noqa: E402
+from roomtide.plans.registry import EXAMPLE_MODELS, FIVE, HOMES, sensor_readings  # noqa: E402
+from roomtide.runtime import release, stage  # noqa: E402
 from roomtide.sources import readings as readings_source  # noqa: E402
 from roomtide.sources.config import TrainConfig  # noqa: E402
 
@@ -53,6 +56,25 @@ def cross_validated(source):
     return experiments.cross_home(source, HOMES, FIVE, TrainConfig(cv=True))[0]
 
 
+def rollout(source):
+    """36 series: every home's test days under six models of example weights."""
+    ready = features.prepare(source, FIVE)
+    staged = stage(ready.features)
+    roles = assign_split(days_of_spans(ready.spans))
+    coef = [float(w) for w in EXAMPLE_MODELS["H1"]]
+    spark = source.sparkSession
+    fitted = spark.createDataFrame([(h, coef) for h in HOMES], "dataset STRING, coef ARRAY<DOUBLE>")
+    rows = experiments.series_rows(staged, experiments.cross_home_tests(roles, HOMES), fitted)
+    return experiments.predict_rollout(rows)
+
+
+def single_fit(source):
+    """One L1 fit on the training days of one home."""
+    ready = features.prepare(source.where("home = 'H1'"), FIVE)
+    days = assign_split(days_of_spans(ready.spans)).where("role = 'train'").withColumn("dataset", F.col("home"))
+    return experiments.train(stage(ready.features), days).models
+
+
 def factorial(source):
     return experiments.factorial_experiment(source, "audio_None", 5, FIVE).metrics
 
@@ -60,7 +82,7 @@ def factorial(source):
 HEADLINES = {
     f.__name__: f
     for f in (flagship, hub_fusion, rolling_lags, forward_fill, model_free, cross_home,
-              split_sweep, factorial, cross_validated)
+              split_sweep, factorial, cross_validated, rollout, single_fit)
 }
 
 
@@ -85,6 +107,7 @@ def main() -> None:
         start = time.perf_counter()
         HEADLINES[name](source).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release(spark)
     print(
         json.dumps(
             {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from roomtide.functions.numeric import sig_round, sig_str
 from roomtide.operators import metrics
 
-# Published rows: Accuracy, RMSE, F1, F1 neg, tnr, fpr, fnr, tpr, tn, fp, fn, tp.
+# Published metric rows that the counts must reproduce: Accuracy, RMSE, F1, F1 neg, tnr, fpr, fnr, tpr, tn, fp, fn, tp.
 PUBLISHED = [
     (0.9757, 0.156, 0.9857, 0.919, 0.899, 0.101, 0.0104, 0.99, 471, 53, 30, 2857),
     (0.9435, 0.2378, 0.957, 0.9174, 0.924, 0.0759, 0.0466, 0.953, 633, 52, 62, 1269),

@@ -120,6 +120,7 @@ def test_ties_go_to_the_smallest_strength(spark):
 
 def test_candidates_hold_published_choices():
     grid = np.array(models.candidate_strengths())
+    # Published strengths.
     for c in (4.893900918477489, 0.7278953843983146, 1.3738237958832638, 2.592943797404667):
         assert np.min(np.abs(grid - c)) < 1e-12
 
