@@ -11,7 +11,7 @@ query's best open node with array operations.  The answers of all shards are mer
 
 Shards hold a bounded number of bytes and chunks a bounded number of queries; their number grows
 with the input.  Defined results: vectors that are null, empty, zero or hold null or non-finite
-components neither ask nor answer; vectors are compared with those of equal length only; a row is
+components and rows with a null id neither ask nor answer; vectors are compared with those of equal length only; a row is
 no answer to itself, but other rows with its vector or id are; rows equal in id and vector ask
 once; fewer candidates than k are all returned; an empty table gives an empty result.
 """
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomtide.runtime import stage
+from roomtide.runtime import spread, stage
 
 DEGREE = 16
 BREADTH = 96
@@ -216,7 +216,8 @@ def build(embeddings: DataFrame, shard_bytes: int = SHARD_BYTES, least: int = LE
             "neighbours": b"".join(x.tobytes() for x in graph.levels),
             "members": ids[members].tobytes(), "first_member": starts.astype(np.int64).tobytes()}])
 
-    return dealt.groupBy("dim", "shard").applyInPandas(
+    # A fixed number of tasks: by bytes, graphs that take long to build would meet in one.
+    return spread(dealt, "dim", "shard").groupBy("dim", "shard").applyInPandas(
         one, "dim int, shard int, n long, level_sizes array<long>, vectors binary, neighbours binary, "
              "members binary, first_member binary")
 
@@ -241,21 +242,22 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, breadth: int = BRE
     asked = _prepared(queries).dropDuplicates(["vec_id", "print"])
     counts = asked.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(chunk)).cast("int").alias("chunks"))
     places = index.select("dim", "shard")
-    spread = (asked.join(counts, "dim").withColumn("chunk", F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int"))
-              .join(places, "dim").select(F.col("dim").alias("of_dim"), F.col("shard").alias("of_shard"),
-                                          F.col("chunk").alias("of_chunk"), "vec_id", "print", "vector"))
+    sent = (asked.join(counts, "dim").withColumn("chunk", F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int"))
+            .join(places, "dim").select(F.col("dim").alias("of_dim"), F.col("shard").alias("of_shard"),
+                                        F.col("chunk").alias("of_chunk"), "vec_id", "print", "vector"))
     graphs = index.join(counts, "dim").withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)"))).drop("chunks")
 
     def one(graph_rows: pd.DataFrame, asked_rows: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[np.ndarray, ...]] = []
         if len(graph_rows) and len(asked_rows):
             graph, vectors, members, first = opened(graph_rows.iloc[0])
-            for at in range(0, len(asked_rows), 2048):
-                part = asked_rows.iloc[at:at + 2048]
+            for at in range(0, len(asked_rows), 1024):
+                part = asked_rows.iloc[at:at + 1024]
                 wanted = np.stack(part["vector"].to_numpy())
                 padded = np.concatenate([wanted, np.zeros((len(wanted), 1))], 1).astype(np.float32)
                 ids, _ = graph.search(padded, max(breadth, k + 1))
-                exact = np.matmul(vectors[ids], wanted[:, :, None])[:, :, 0]
+                # Summed in one order, so equal vectors tie exactly wherever they stand.
+                exact = (vectors[ids] * wanted[:, None, :]).sum(-1)
                 exact[ids < 0] = -np.inf
                 best = np.argsort(-exact, axis=1, kind="stable")[:, :k + 1]
                 for q, (own, prints) in enumerate(zip(part["vec_id"].to_numpy(), part["print"].to_numpy())):
@@ -281,7 +283,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, breadth: int = BRE
         return pd.DataFrame({c: np.concatenate([o[i] for o in out]) for i, c in enumerate(columns)})
 
     found = graphs.groupBy("dim", "shard", "chunk").cogroup(
-        spread.groupBy("of_dim", "of_shard", "of_chunk")).applyInPandas(
+        sent.groupBy("of_dim", "of_shard", "of_chunk")).applyInPandas(
         one, "query_id long, print long, vec_id long, score double")
     best = Window.partitionBy("query_id", "print").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
