@@ -341,15 +341,20 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, documents: DataFrame, n: in
     return stage(met.where(F.expr(_linked("ta", "tb", percent))).select("a", "b"))
 
 
-def links(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that link, enough of them to connect every component."""
+def _indexed(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> tuple[DataFrame, int]:
+    """Prefixes and filters of every class that shares a prefix token, and the number of tasks."""
     spark = documents.sparkSession
     tokens = rows.agg(F.sum("n_shingles")).first()[0] or 0
     ranges = 64
     while ranges * RANGE_TOKENS < tokens and ranges < 1 << 16:
         ranges *= 2
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 2)
-    prefixes = stage(_prefixes(_shared(_ranged(documents, n, ranges), parts), parts, percent))
+    return stage(_prefixes(_shared(_ranged(documents, n, ranges), parts), parts, percent)), parts
+
+
+def links(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes that link, enough of them to connect every component."""
+    prefixes, parts = _indexed(documents, rows, n, percent)
     lists = prefixes.select(F.explode("prefix").alias("token"), "class", "n")
     long = stage(lists.groupBy("token").agg(F.count("*").alias("members")).where(f"members > {HOT}"))
     if long.isEmpty():
@@ -390,6 +395,51 @@ def links(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFr
     return found.unionByName(stars).unionByName(rest)
 
 
+def all_links(documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Every pair (a, b) of classes, a < b, that links; ``rows`` are the classes of the documents.
+
+    Members of a long list meet under two keys, the token and one of the second order's prefix,
+    and a pair is tested once, at its first token of both: classes that only share a frequent
+    token do not meet, and what is left of a hot key is a join that Spark can split.
+    """
+    prefixes, parts = _indexed(documents, rows, n, percent)
+    lists = prefixes.select(F.explode("prefix").alias("token"), "class", "n")
+    long = stage(lists.groupBy("token").agg(F.count("*").alias("members")).where(f"members > {HOT}").select("token"))
+    short = lists.join(long, "token", "left_anti").withColumn("root", F.col("class"))
+    found = _verified(_pairs(short, parts, percent), prefixes, documents, n, percent)
+    if long.isEmpty():
+        return found
+    hot = lists.join(long, "token").select("token", "class", "n")
+    sets = stage(_full_sets(stage(hot.select("class").distinct()), documents, n).join(
+        prefixes.select("class", "prefix", F.expr("transform(filters, f -> array_distinct(f))").alias("filters")), "class"))
+    keyed = hot.join(sets, "class").withColumn("second", F.explode(F.col("filters")[0]))
+    x, y = keyed.alias("x"), keyed.alias("y")
+    others = " and ".join(f"arrays_overlap(x.filters[{k}], y.filters[{k}])" for k in range(1, ORDERS - 1))
+    met = x.join(y, F.expr(
+        "x.token = y.token and x.second = y.second and x.class < y.class"
+        f" and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+        f" and element_at(array_intersect(x.filters[0], y.filters[0]), 1) = x.second"
+        f" and element_at(array_intersect(x.prefix, y.prefix), 1) = x.token and {others or 'true'}"
+        f" and {_linked('x.tokens', 'y.tokens', percent)}"))
+    rest = stage(met.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")))
+    # A pair may share a first token in a long list and others in short ones.
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(rest).distinct()
+
+
+def joined(documents: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """The whole join: every document's class and number of links to other texts' classes, and the
+    pairs of classes.
+
+    doc_id, n_shingles, class, links: documents of one class have equal sets and link with each
+    other and with all documents of the classes that theirs links to.
+    """
+    rows = stage(classes(documents, n))
+    pairs = stage(all_links(documents, rows, n, percent))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("_end")).groupBy("_end").agg(F.count("*").alias("links"))
+    whole = rows.join(ends, F.col("class") == F.col("_end"), "left").drop("_end")
+    return whole.withColumn("links", F.coalesce("links", F.lit(0))), pairs
+
+
 def _rooted(documents: DataFrame, n: int, percent: int, others: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, class, root (null for empty sets) of every row, and ``others``."""
     rows = stage(classes(documents, n, others))

@@ -681,3 +681,29 @@ def test_stages_pass_columns_with_internal_names(spark, clash_table):
         for r in out.collect():
             assert all(r[c] == (None if r.doc_id is None else f"{c} {r.doc_id}") for c in CLASHING), name
     assert "ids_sha256" in corpus_pipeline.STAGES[4][1](spark, docs, folder).columns
+
+
+@pytest.mark.parametrize("hot", [256, 3])
+@pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])
+def test_the_whole_join_loses_no_link(spark, documents, monkeypatch, hot, n, percent):
+    """All pairs of different sets that link, with membership, against brute force."""
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    rows_of, pairs = jaccard.joined(documents, n, percent)
+    rows_of, pairs = rows_of.collect(), {tuple(sorted(r)) for r in pairs.collect()}
+
+    def shingles(text):
+        own = tokens(text)
+        return frozenset(tuple(own[i:i + n]) for i in range(len(own) - n + 1)) if len(own) >= n else frozenset([tuple(own)] if own else [])
+
+    sets = {shingles(t) for _, t in rows()} - {frozenset()}
+    wanted = collections.Counter()
+    number = 0
+    for a in sets:
+        for b in sets:
+            if a is not b and 100 * len(a & b) >= percent * len(a | b):
+                wanted[a] += 1
+                number += 1
+    assert 2 * len(pairs) == number > 0
+    assert len({r["class"] for r in rows_of if r["class"] is not None}) == len(sets)
+    found = sorted(((r.doc_id, r.n_shingles, r.links) for r in rows_of), key=repr)
+    assert found == sorted(((i, len(shingles(t)), wanted[shingles(t)]) for i, t in rows()), key=repr)
