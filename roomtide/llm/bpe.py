@@ -6,9 +6,11 @@ and w-arcs lead wherever v-arcs led.  After the last gadget the paths are exactl
 that the merges leave, one path per string, so the state after a token says which tokens may
 follow.  States are kept as copies of an older state minus one arc, not as 49,000 arc lists.
 
-Encoding a pre-split word runs over its bytes: the last token of every prefix is determined, so a
-row of transitions per prefix finds the word's path; each distinct word is run once per task.
-Decoding emits the labels of the arcs.
+Encoding a pre-split word runs over its bytes, one transition each, without backing out: a prefix is
+a state, and the last token of every prefix is determined.  Transitions are compiled on first use,
+once for all words that share a prefix: the token that ends there is the one whose arc leaves the state of
+the prefix before it.  Reading the last tokens from the end back spells the word's path; each
+distinct word is run once per task.  Decoding emits the labels of the arcs.
 
 Defined results: null counts as empty text; empty text has no tokens and decodes to empty text;
 the literal special tokens inside a text become their ids, as in the tokenizers library.
@@ -101,6 +103,7 @@ class Automaton:
             self.ids[self.name[u + v]] = vocabulary[u + v]
             self.gadget(step, self.name[u], self.name[v])
         self.known.clear()
+        self.forget()
         self.label = {str(i): w for w, i in vocabulary.items()}
         self.longest = max(map(len, self.ids), default=1)
 
@@ -136,43 +139,56 @@ class Automaton:
                 return True
             a, a_until = parts[a][1], a_from
 
-    def path(self, text: str) -> list[str]:
-        """Arc labels of the one path that spells the text.
-
-        Long arcs are tried first; a position and last arc from which the end could not be
-        reached is never entered again, so the walk is at most (positions x arcs) long.
+    def arc(self, left: str, right: str) -> bool:
+        """Compiled answer of :meth:`follows`."""
+        found = self.known.get((left, right))
+        if found is None:
+            found = self.known[left, right] = self.follows(left, right)
+        return found
+
+    def forget(self) -> None:
+        """Start the transition rows anew: state 0 is the empty prefix; ``last`` is the token that ends
+        at a state, ``before`` the state a symbol earlier, ``back`` the one that token started from."""
+        self.rows: list[dict[str, int]] = [{}]
+        self.last: list[str] = [""]
+        self.before: list[int] = [0]
+        self.back: list[int] = [0]
+
+    def compiled(self, state: int, text: str, end: int) -> int:
+        """Add the transition of ``state`` by the symbol before ``end``; ``state`` has read the rest.
+
+        One token only can end there: paths are unique and so are those of prefixes, so it is the
+        token whose arc leaves the state entered by the last token of the prefix before it.
         """
-        ids, known, follows = self.ids, self.known, self.follows
-        n = len(text)
-        out: list[str] = []
-        stops: list[int] = []
-        at, stop, before = 0, min(n, self.longest), None
-        dead: set[tuple[int, str | None]] = set()
-        while at < n:
-            found = None
-            while stop > at:
-                token = text[at:stop]
-                if token in ids:
-                    ok = before is None
-                    if not ok:
-                        ok = known.get((before, token))
-                        if ok is None:
-                            ok = known[before, token] = follows(before, token)
-                    if ok and (not dead or (stop, token) not in dead):
-                        found = token
-                        break
-                stop -= 1
-            if found is None:
-                dead.add((at, before))
-                stop = stops.pop() - 1
-                at -= len(out.pop())
-                before = out[-1] if out else None
-                continue
-            out.append(found)
-            stops.append(stop)
-            at, before = stop, found
-            stop = min(n, at + self.longest)
-        return out
+        last, before, ids = self.last, self.before, self.ids
+        node, found = state, ""
+        for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
+            token = text[start:end]
+            if token in ids and (start == 0 or last[node] and self.arc(last[node], token)):
+                found = token
+                break
+            node = before[node]
+        made = self.rows[state][text[end - 1]] = len(last)
+        self.rows.append({})
+        last.append(found)
+        before.append(state)
+        self.back.append(node)
+        return made
+
+    def path(self, text: str) -> list[str]:
+        """Arc labels of the one path that spells the text: a transition for every symbol, then the
+        last tokens from the end back."""
+        rows, state, end = self.rows, 0, 0
+        for symbol in text:
+            end += 1
+            after = rows[state].get(symbol)
+            state = self.compiled(state, text, end) if after is None else after
+        last, back = self.last, self.back
+        out = []
+        while state:
+            out.append(last[state])
+            state = back[state]
+        return out[::-1]
 
 
 class Tokenizer:
@@ -212,6 +228,7 @@ class Encoder(dict):
 
     most = 500_000
     longest = 64
+    states = 300_000
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         super().__init__()
@@ -228,7 +245,11 @@ class Encoder(dict):
         word_text = word
         if not (word.isascii() and word.isprintable()):
             word_text = "".join([self.symbols[b] for b in word.encode("utf-8")])
+        if len(automaton.last) > self.states or len(word) > self.longest:
+            automaton.forget()
         out = " ".join([self.texts[t] for t in automaton.path(word_text + self.tokenizer.suffix)])
+        if len(word) > self.longest:
+            automaton.forget()
         if len(self) >= self.most:
             self.clear()
         if len(word) > self.longest:

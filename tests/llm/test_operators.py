@@ -707,3 +707,53 @@ def test_the_whole_join_loses_no_link(spark, documents, monkeypatch, hot, n, per
     assert len({r["class"] for r in rows_of if r["class"] is not None}) == len(sets)
     found = sorted(((r.doc_id, r.n_shingles, r.links) for r in rows_of), key=repr)
     assert found == sorted(((i, len(shingles(t)), wanted[shingles(t)]) for i, t in rows()), key=repr)
+
+
+def test_arcs_and_transitions_equal_merging_step_by_step(tokenizer):
+    """Arcs join tokens that merging by rank leaves apart; every prefix has the last token that merging gives it."""
+    import json
+
+    automaton = tokenizer.automaton
+    model = json.load(open(f"{TOKENIZERS}/word_bpe_49k.json", encoding="utf-8"))["model"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    rank = {(automaton.name[u], automaton.name[v]): k for k, (u, v) in enumerate(pairs) if u in automaton.name and v in automaton.name}
+
+    def merged(symbols):
+        while True:
+            found = min(((rank[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in rank), default=None)
+            if found is None:
+                return symbols
+            u, v = symbols[found[1]], symbols[found[1] + 1]
+            out, i = [], 0
+            while i < len(symbols):
+                if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == (u, v):
+                    out.append(u + v)
+                    i += 2
+                else:
+                    out.append(symbols[i])
+                    i += 1
+            symbols = out
+
+    def base(text):
+        return list(text[:-2]) + [text[-2:]] if text.endswith(bpe.END) else list(text)
+
+    rng = random.Random(3)
+    ids = sorted(automaton.ids)
+    inner = [t for t in ids if not t.endswith(bpe.END)]
+    seen = set()
+    for _ in range(4000):
+        left, right = rng.choice(inner), rng.choice(ids)
+        if merged(base(left)) == [left] and merged(base(right)) == [right]:
+            apart = merged(base(left) + base(right)) == [left, right]
+            assert automaton.arc(left, right) == automaton.follows(left, right) == apart
+            seen.add(apart)
+    assert seen == {True, False}
+    automaton.forget()
+    for _ in range(300):
+        word = "".join(rng.choice(inner) for _ in range(rng.randint(1, 4)))[:24]
+        assert automaton.path(word + bpe.END) == merged(base(word + bpe.END))
+        for end in range(1, len(word) + 1):
+            assert automaton.path(word[:end]) == merged(base(word[:end]))
+    # One transition per state and symbol, and every state is reached by one.
+    reached = [after for row in automaton.rows for after in row.values()]
+    assert sorted(reached) == list(range(1, len(automaton.last)))
