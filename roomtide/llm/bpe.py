@@ -69,6 +69,9 @@ def word_pattern(full: bool) -> str:
     head, _, symbols = pattern.rpartition("|")
     return f"(?V1){head}|[{symbols[:-1]}||[{unknown}]]+"
 
+#: The row of every state that no transition leaves yet.
+NO_ROW: dict[str, int] = {}
+
 
 def byte_symbols() -> list[str]:
     """Printable stand-in for every byte: itself if visible in Latin-1, else 256, 257, ..."""
@@ -149,7 +152,7 @@ class Automaton:
     def forget(self) -> None:
         """Start the transition rows anew: state 0 is the empty prefix; ``last`` is the token that ends
         at a state, ``before`` the state a symbol earlier, ``back`` the one that token started from."""
-        self.rows: list[dict[str, int]] = [{}]
+        self.rows: list[dict[str, int]] = [NO_ROW]
         self.last: list[str] = [""]
         self.before: list[int] = [0]
         self.back: list[int] = [0]
@@ -168,8 +171,11 @@ class Automaton:
                 found = token
                 break
             node = before[node]
-        made = self.rows[state][text[end - 1]] = len(last)
-        self.rows.append({})
+        made = len(last)
+        if self.rows[state] is NO_ROW:
+            self.rows[state] = {}
+        self.rows[state][text[end - 1]] = made
+        self.rows.append(NO_ROW)
         last.append(found)
         before.append(state)
         self.back.append(node)
@@ -228,7 +234,7 @@ class Encoder(dict):
 
     most = 500_000
     longest = 64
-    states = 300_000
+    states = 700_000
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         super().__init__()
