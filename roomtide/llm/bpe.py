@@ -9,8 +9,9 @@ follow.  States are kept as copies of an older state minus one arc, not as 49,00
 Encoding a pre-split word runs over its bytes, one transition each, without backing out: a prefix is
 a state, and the last token of every prefix is determined.  Transitions are compiled on first use,
 once for all words that share a prefix: the token that ends there is the one whose arc leaves the state of
-the prefix before it.  Reading the last tokens from the end back spells the word's path; each
-distinct word is run once per task.  Decoding emits the labels of the arcs.
+the prefix before it.  Reading the last tokens from the end back spells the word's path; words read
+lately are looked up.  Words, transitions and arcs are held in bounded numbers, because an executor's
+Python workers share its memory.  Decoding emits the labels of the arcs.
 
 Defined results: null counts as empty text; empty text has no tokens and decodes to empty text;
 the literal special tokens inside a text become their ids, as in the tokenizers library.
@@ -57,12 +58,17 @@ def ranges(listed: str) -> list[tuple[str, str]]:
     return [(r.partition("-")[0], r.rpartition("-")[2]) for r in listed.split()]
 
 
+def char_class(listed: str) -> str:
+    """The ranges of a list in hexadecimal as the inside of a character class."""
+    return "".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}" for a, b in ranges(listed))
+
+
 def word_pattern(full: bool) -> str:
-    """WORD_PATTERN as the library reads it; not ``full``: for texts below the first unknown letter."""
+    """WORD_PATTERN as the library reads it; not ``full``: for texts without unknown letters."""
     pattern = WORD_PATTERN.replace(r"[^\s", "[^" + BLANK)
     if not full:
         return pattern
-    unknown = "".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}" for a, b in ranges(UNKNOWN))
+    unknown = char_class(UNKNOWN)
     for kind in ("L", "N"):
         pattern = pattern.replace(rf"|[\p{{{kind}}}]", rf"|[\p{{{kind}}}--[{unknown}]]").replace(
             rf"|\p{{{kind}}}", rf"|[\p{{{kind}}}--[{unknown}]]")
@@ -107,6 +113,8 @@ class Automaton:
             self.gadget(step, self.name[u], self.name[v])
         self.known.clear()
         self.forget()
+        # The one string of every token that states and arcs refer to.
+        self.token = {w: w for w in self.ids}
         self.label = {str(i): w for w, i in vocabulary.items()}
         self.longest = max(map(len, self.ids), default=1)
 
@@ -163,13 +171,18 @@ class Automaton:
         One token only can end there: paths are unique and so are those of prefixes, so it is the
         token whose arc leaves the state entered by the last token of the prefix before it.
         """
-        last, before, ids = self.last, self.before, self.ids
+        last, before, tokens, known = self.last, self.before, self.token.get, self.known
         node, found = state, ""
         for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
-            token = text[start:end]
-            if token in ids and (start == 0 or last[node] and self.arc(last[node], token)):
-                found = token
-                break
+            token = tokens(text[start:end])
+            if token is not None:
+                left = last[node]
+                follows = start == 0 or left and known.get((left, token))
+                if follows is None:
+                    follows = self.arc(left, token)
+                if follows:
+                    found = token
+                    break
             node = before[node]
         made = len(last)
         if self.rows[state] is NO_ROW:
@@ -228,13 +241,37 @@ class Tokenizer:
         return parts["encoder"]
 
 
-class Encoder(dict):
-    """word -> its ids as decimal text; words of up to ``longest`` characters are run once, then
-    looked up, ``most`` at a time."""
+class Recent(dict):
+    """Word -> what ``read`` makes of it; words of up to ``longest`` characters are read once, then
+    looked up.  At most ``most`` words are held, and as many of before: those found there move over,
+    the rest goes when the next ``most`` words are full."""
 
-    most = 500_000
+    most = 250_000
     longest = 64
-    states = 700_000
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict = {}
+
+    def __missing__(self, word: str):
+        if len(word) > self.longest:
+            return self.read(word)
+        out = self.older.pop(word, None)
+        if out is None:
+            out = self.read(word)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[word] = out
+        return out
+
+
+class Encoder(Recent):
+    """word -> its ids as decimal text; at most ``states`` transitions and ``arcs`` answers are held
+    besides the words (transitions: and those of one word more)."""
+
+    states = 50_000
+    arcs = 200_000
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         super().__init__()
@@ -243,26 +280,22 @@ class Encoder(dict):
         self.texts = {w: str(i) for w, i in tokenizer.automaton.ids.items()}
         self.words = regex.compile(word_pattern(False)).findall
         self.all_words = regex.compile(word_pattern(True)).findall
-        self.first_unknown = chr(int(ranges(UNKNOWN)[0][0], 16))
+        self.unknown = regex.compile(f"[{char_class(UNKNOWN)}{''.join(map(chr, LOWER))}]").search
         self.specials = regex.compile("(" + "|".join(map(regex.escape, tokenizer.special)) + ")").split
 
-    def __missing__(self, word: str) -> str:
+    def read(self, word: str) -> str:
+        """Run the automaton over the word; transitions of long words are not kept."""
         automaton = self.tokenizer.automaton
         word_text = word
         if not (word.isascii() and word.isprintable()):
             word_text = "".join([self.symbols[b] for b in word.encode("utf-8")])
         if len(automaton.last) > self.states or len(word) > self.longest:
             automaton.forget()
+        if len(automaton.known) > self.arcs:
+            automaton.known.clear()
         out = " ".join([self.texts[t] for t in automaton.path(word_text + self.tokenizer.suffix)])
         if len(word) > self.longest:
             automaton.forget()
-        if len(self) >= self.most:
-            self.clear()
-        if len(word) > self.longest:
-            return out
-        if len(automaton.known) > 4 * self.most:
-            automaton.known.clear()
-        self[word] = out
         return out
 
     def encode(self, text: str) -> str:
@@ -277,7 +310,7 @@ class Encoder(dict):
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
                 part = part.lower()
                 words = self.words
-                if max(part) >= self.first_unknown:
+                if self.unknown(part):
                     part, words = part.translate(LOWER), self.all_words
                 pieces += map(self.__getitem__, words(part))
         return " ".join(pieces)

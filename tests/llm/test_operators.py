@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import re
 import zlib
@@ -757,3 +758,40 @@ def test_arcs_and_transitions_equal_merging_step_by_step(tokenizer):
     # One transition per state and symbol, and every state is reached by one.
     reached = [after for row in automaton.rows for after in row.values()]
     assert sorted(reached) == list(range(1, len(automaton.last)))
+
+
+def test_bpe_encoder_memory_is_bounded():
+    import subprocess
+    import sys
+
+    # 250,000 words read once, as in the tail of a corpus: 237 MB when transitions held strings of their own.
+    code = f"""
+import random, re
+from roomtide.llm import bpe
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+encoder = bpe.Tokenizer.encoder(bpe.Tokenizer("{TOKENIZERS}/word_bpe_49k.json").parts())
+rng, before = random.Random(5), held()
+for _ in range(250):
+    encoder.encode(" ".join("".join(rng.choices("aeioulnrst", k=10)) for _ in range(1000)))
+print(held() - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                          cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert float(done.stdout) < 140
+
+
+def test_recent_words_move_over_and_rare_ones_go(tokenizer):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(f"{TOKENIZERS}/word_bpe_49k.json")
+    encoder = bpe.Tokenizer.encoder(tokenizer.parts())
+    encoder.most, encoder.states, encoder.arcs = 10, 20, 5
+    rng, read = random.Random(7), collections.Counter()
+    once = encoder.read
+    encoder.read = lambda word: read.update([word]) or once(word)
+    for _ in range(300):
+        text = "often " + "".join(rng.choices("abcdé", k=6))
+        assert encoder.encode(text) == " ".join(map(str, library.encode(text, add_special_tokens=False).ids))
+        assert len(encoder) <= 10 and len(encoder.older) <= 10
+    assert read["often"] == 1
