@@ -7,6 +7,11 @@ block's separators with one vectorised comparison, and a prefix scan over the bl
 (separators so far; tokens since the last one) gives every document its ordinal and joins the
 parts of those that cross blocks.
 
+Writing splits a text into words as the tokenizer file does, reads each word's ids from the
+tokenizers library once and joins them, since distinct words are few beside words; words held are
+bounded (``bpe.Recent``).  Files of another split and texts with characters that the splitting
+package knows from a later Unicode version go to the library whole.
+
 Files lie in the shared folder and are read by path and range, each block by itself, so one file
 may be larger than any task's memory.  A file is named only by the task attempt whose output Spark
 kept; files of lost attempts are never read.
@@ -19,44 +24,77 @@ number of bytes is refused.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roomtide.llm.bpe import BLANK, UNKNOWN, Recent, char_class
 from roomtide.runtime import new_folder, stage
 
 WIDTH = 2
 FILE_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
+# The byte-level split of tokenizer files, with white space as the library understands it.
+SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{L}\p{N}" + BLANK + r"]+|["
+                 + BLANK + r"]+(?![^" + BLANK + r"])|[" + BLANK + r"]+")
+
+
+class Ids(Recent):
+    """Word -> its ids as bytes; made from a tokenizer file's content, special tokens are ordinary text."""
+
+    def __init__(self, spec: str) -> None:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        parts = json.loads(spec)
+        split = parts["pre_tokenizer"] or {}
+        self.by_word = (parts["normalizer"] is None and not parts["model"].get("dropout")
+                        and {k: split.get(k) for k in SPLIT} == SPLIT and all(t["special"] for t in parts["added_tokens"]))
+        self.words = regex.compile(SPLIT_PATTERN).findall
+        self.unknown = regex.compile(f"[{char_class(UNKNOWN)}]").search
+
+    def read(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def of(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        if self.by_word and (text.isascii() or not self.unknown(text)):
+            return b"".join(map(self.__getitem__, self.words(text)))
+        return self.read(text)
 
 
 def write(documents: DataFrame, path: str, separator: str = "<|endoftext|>") -> DataFrame:
     """Encode with the tokenizer file at ``path``; returns file, ordinal, doc_id of what was written."""
-    import json
-
     with open(path, encoding="utf-8") as file:
         spec = file.read()
     end = next(t["id"] for t in json.loads(spec)["added_tokens"] if t["content"] == separator)
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(spec)  # the vocabulary file, under 2 MB
+    shared = spark.sparkContext.broadcast({"spec": spec})  # the vocabulary file, under 2 MB
     folder = new_folder(spark)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
         import uuid
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyarrow import fs
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.encode_special_tokens = True
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        # The process's words outlive a task where Spark reuses the worker.
+        if "ids" not in shared.value:
+            shared.value["ids"] = Ids(shared.value["spec"])
+        ids, last = shared.value["ids"], np.asarray([end], "<u2").tobytes()
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         name, out, size, ordinal = "", None, 0, 0
@@ -67,14 +105,13 @@ def write(documents: DataFrame, path: str, separator: str = "<|endoftext|>") ->
                     name, size, ordinal = f"{uuid.uuid4().hex}.tokens", 0, 0
                     out = store.open_output_stream(f"{root}/{name}")
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-                ids = np.concatenate([np.asarray([*e.ids, end], "<u2") for e in encoded])
-                out.write(ids.tobytes())
+                encoded = b"".join([ids.of(t) + last for t in texts])
+                out.write(encoded)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f"{folder}/{name}"] * len(texts)),
                      pa.array(range(ordinal, ordinal + len(texts)), pa.int64()), part.column("doc_id")],
                     ["file", "ordinal", "doc_id"])
-                size, ordinal = size + ids.nbytes, ordinal + len(texts)
+                size, ordinal = size + len(encoded), ordinal + len(texts)
                 if size >= FILE_BYTES:
                     out.close()
                     out = None
@@ -150,8 +187,6 @@ def scan(files: DataFrame, end: int, block_bytes: int = BLOCK_BYTES) -> DataFram
 
 def counts(documents: DataFrame, path: str, separator: str = "<|endoftext|>") -> DataFrame:
     """doc_id, n_tokens, file, ordinal: write flat files, then count by scanning them."""
-    import json
-
     with open(path, encoding="utf-8") as file:
         end = next(t["id"] for t in json.load(file)["added_tokens"] if t["content"] == separator)
     written = write(documents, path, separator)

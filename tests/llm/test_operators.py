@@ -795,3 +795,43 @@ def test_recent_words_move_over_and_rare_ones_go(tokenizer):
         assert encoder.encode(text) == " ".join(map(str, library.encode(text, add_special_tokens=False).ids))
         assert len(encoder) <= 10 and len(encoder.older) <= 10
     assert read["often"] == 1
+
+
+def test_token_files_read_a_word_once_and_equal_the_library():
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
+        spec = file.read()
+    texts = ["", "the cat and the cat", "a  b \n\n c\t", "it's 'S we'll", "x" * 5000, " " * 300 + "y", "<|endoftext|>",
+             "a\x1cb\x85c\u180ed", "日本語の文です。" * 20, "e\u0301 ΑΣ İ", "a\U000323b0b \u088f1 \U00011de0", "\u0558z"]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices("ab 1!'s\n\t\u00a0é語\U0001f600\u0301٣", k=30)) for _ in range(300)]
+    for normalizer in (None, {"type": "Lowercase"}):
+        changed = json.dumps(json.loads(spec) | {"normalizer": normalizer})
+        ids, library = tokenfiles.Ids(changed), Tokenizer.from_str(changed)
+        library.encode_special_tokens = True
+        ids.most = 50
+        for text in texts:
+            assert ids.of(text) == np.asarray(library.encode(text, add_special_tokens=False).ids, "<u2").tobytes(), ascii(text)
+            assert len(ids) <= 50 and len(ids.older) <= 50
+        assert all(len(w) <= ids.longest for w in ids) and bool(ids) == (normalizer is None)
+    ids, read = tokenfiles.Ids(spec), []
+    once = ids.read
+    ids.read = lambda word: read.append(word) or once(word)
+    ids.of("the cat and the cat" * 3)
+    assert len(read) == len(set(read)) < 6
+
+
+def test_token_file_words_equal_the_library_on_every_code_point():
+    from tokenizers import Tokenizer
+
+    with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
+        spec = file.read()
+    ids, library = tokenfiles.Ids(spec), Tokenizer.from_str(spec)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        texts = [f"a{chr(c)}1 {chr(c)}! {chr(c)}" for c in points[at:at + 50_000]]
+        for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert ids.of(text) == np.asarray(found.ids, "<u2").tobytes(), ascii(text)
