@@ -36,6 +36,7 @@ from roomtide.runtime import stage
 
 WORDS = 5
 CONTAINED = 0.8
+SLICE = 1 << 20
 
 
 def item_shingles(benchmark: DataFrame, words: int = WORDS, contained: float = CONTAINED) -> DataFrame:
@@ -92,7 +93,7 @@ def hits(documents: DataFrame, items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         every, signature = map(unpacked, shared.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found = words_of(batch.column("text"), hasher)
             doc_of = np.repeat(np.arange(batch.num_rows), np.diff(found.first))
             out: list[list] = [[], [], [], [], []]

@@ -40,7 +40,9 @@ ORDERS = 3
 HOT = 256
 LEADS = 4
 RANGE_TOKENS = 4 << 20
-FLUSH_TOKENS = 4 << 20
+FLUSH_TOKENS = 1 << 20
+SEEN = 1 << 18
+SLICE = 1 << 20
 
 
 def class_of(values: np.ndarray) -> int:
@@ -54,7 +56,7 @@ def class_of(values: np.ndarray) -> int:
 def _sets(batches: Iterator[pa.RecordBatch], n: int):
     """(batch, row, sorted set) of every text."""
     hasher = Hasher()
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE):
         found = words_of(batch.column("text"), hasher)
         for row in range(batch.num_rows):
             yield batch, row, shingle_set(found.hashes[found.first[row]:found.first[row + 1]], n)
@@ -92,7 +94,8 @@ def _ranged(documents: DataFrame, n: int, ranges: int) -> DataFrame:
     """Tokens of all classes, packed by hash range: range, classes, sizes, counts, tokens (binary).
 
     A token is the top 48 bits of its hash; tokens that agree there count as one, which can only
-    add candidates.
+    add candidates.  A task holds about FLUSH_TOKENS tokens at a time, and names of the last SEEN
+    classes at most: a class that comes again after these is sent again, as from another task.
     """
     shift = np.uint64(64 - (ranges.bit_length() - 1))
 
@@ -104,24 +107,30 @@ def _ranged(documents: DataFrame, n: int, ranges: int) -> DataFrame:
             name = class_of(values)
             if name in seen:
                 continue
+            if len(seen) >= SEEN:
+                seen.clear()
             seen.add(name)
             names.append(name)
             sets.append(values)
             total += len(values)
             if total >= FLUSH_TOKENS:
-                yield from packed(sets, names)
-                sets, names, seen, total = [], [], set(), 0
+                yield packed(sets, names)
+                sets, names, total = [], [], 0
         if sets:
-            yield from packed(sets, names)
+            yield packed(sets, names)
 
-    def packed(sets: list, names: list) -> Iterator[pa.RecordBatch]:
+    def packed(sets: list, names: list) -> pa.RecordBatch:
         tokens = np.concatenate(sets)
         sizes = np.array([len(s) for s in sets], np.uint32)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        part = (tokens >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(tokens), np.int64)
-        order = np.argsort(part * len(sets) + owner, kind="stable")
-        tokens, owner = tokens[order] >> np.uint64(16), owner[order]
-        begin = np.searchsorted(part[order], np.arange(ranges + 1))
+        sets.clear()
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        # At most 1 << 16 ranges; owners ascend already, so a stable order keeps them so.
+        part = (tokens >> shift).astype(np.uint16) if ranges > 1 else np.zeros(len(tokens), np.uint16)
+        order = np.argsort(part, kind="stable")
+        begin = np.append(0, np.cumsum(np.bincount(part, minlength=ranges)))
+        tokens, owner = tokens[order], owner[order]
+        del part, order
+        tokens >>= np.uint64(16)
         ids = np.array(names, np.int64)
         columns: list[list] = [[], [], [], [], [], []]
         for r in range(ranges):
@@ -134,7 +143,7 @@ def _ranged(documents: DataFrame, n: int, ranges: int) -> DataFrame:
                     r, ids[who].tobytes(), sizes[who].tobytes(), counts.astype(np.uint32).tobytes(),
                     (low >> np.uint64(32)).astype(np.uint16).tobytes(), low.astype(np.uint32).tobytes())):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]],
             ["range", "classes", "sizes", "counts", "high", "low"])
 

@@ -35,6 +35,7 @@ WIDTH = 12
 HIDDEN = 8
 CUTS = ((3, False), (4, False), (5, False), (6, False), (3, True))
 THRESHOLD = 0.7
+SLICE = 1 << 20
 
 
 def inputs(found: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -261,7 +262,7 @@ def score(documents: DataFrame, network: Network | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = None if shared.value is None else Network(parameters=shared.value)
         hasher = Hasher()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found = words_of(batch.column("text"), hasher)
             out, number = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             if network is not None and len(found.hashes):

@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -835,3 +836,76 @@ def test_token_file_words_equal_the_library_on_every_code_point():
         texts = [f"a{chr(c)}1 {chr(c)}! {chr(c)}" for c in points[at:at + 50_000]]
         for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
             assert ids.of(text) == np.asarray(found.ids, "<u2").tobytes(), ascii(text)
+
+
+class Taken:
+    """In place of a frame: keeps the function that a task would run."""
+
+    columns = ["doc_id", "text"]
+
+    def __init__(self):
+        self.sparkSession = self.sparkContext = self.schema = self
+
+    def select(self, *columns):
+        return self
+
+    def add(self, *field):
+        return self
+
+    def broadcast(self, value):
+        self.value = value
+        return self
+
+    def mapInArrow(self, function, schema):
+        self.run = function
+        return self
+
+
+def peak(function, batch):
+    """What a task returns, and the most MB that it allocates in Python and numpy."""
+    tracemalloc.start()
+    try:
+        out = list(function(iter([batch])))
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.fixture(scope="module")
+def one_task():
+    """About 14 MB of text in one batch, and copies of its first texts at the end."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(map(str, row)) for row in rng.integers(100_000, 500_000, (4500, 450))]
+    texts += texts[:200]
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+
+
+def test_tokens_by_range_are_whole_in_little_memory(monkeypatch, one_task):
+    monkeypatch.setattr(jaccard, "_texts", lambda documents, *others: documents)
+    out, mb = peak(jaccard._ranged(Taken(), 5, 64).run, one_task)
+    assert mb < 100, mb
+    found = words.words_of(one_task.column("text"), words.Hasher())
+    want = {}
+    for d in range(one_task.num_rows):
+        values = words.shingle_set(found.hashes[found.first[d]:found.first[d + 1]], 5)
+        want[jaccard.class_of(values)] = values
+    got = collections.defaultdict(list)
+    for row in pa.Table.from_batches(out).to_pylist():
+        ids, sizes, counts, high, low = (np.frombuffer(row[c], kind) for c, kind in (
+            ("classes", np.int64), ("sizes", np.uint32), ("counts", np.uint32), ("high", np.uint16), ("low", np.uint32)))
+        values = high.astype(np.uint64) << np.uint64(32) | low
+        assert (values >> np.uint64(42) == row["range"]).all() and counts.sum() == len(values)
+        for name, size, part in zip(ids.tolist(), sizes, np.split(values, np.cumsum(counts)[:-1])):
+            assert size == len(want[name])
+            got[name].append(part)
+    # Each class once, copies included, and all its tokens.
+    assert got.keys() == want.keys() and len(want) == 4500
+    assert all(np.array_equal(np.sort(np.concatenate(got[c])), want[c] >> np.uint64(16)) for c in want)
+
+
+def test_toxicity_is_scored_in_little_memory(one_task):
+    taken = Taken()
+    toxicity.score(taken, toxicity.Network())
+    out, mb = peak(taken.run, one_task)
+    assert mb < 120, mb
+    assert sum(b.num_rows for b in out) == one_task.num_rows
